@@ -35,6 +35,11 @@ class Roles:
     def classes(self) -> tuple[object, object]:
         return (self.negative, self.positive)
 
+    @property
+    def class_names(self) -> tuple[str, str]:
+        """The two target values as Spark prints them."""
+        return tuple(str(v).lower() if isinstance(v, bool) else str(v) for v in self.classes)
+
     @property
     def columns(self) -> tuple[str, ...]:
         return (self.label, *self.categorical, *self.numeric)
@@ -87,6 +92,19 @@ class Settings:
     seed: int = 42
 
 
+COLUMN_TYPES = {
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def table_schema(columns: Mapping[str, str]) -> T.StructType:
     """Nullable ``StructType`` from an ordered ``{name: type}`` mapping."""
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
+    return T.StructType([T.StructField(name, COLUMN_TYPES[kind], True) for name, kind in columns.items()])
