@@ -26,7 +26,8 @@ def fitted_scores(spark, sf_dir, spec: models.ModelSpec):
     """Held-out rows scored by one classifier, fitted with its settings."""
     training, held_out = split(modelling_lines(spark, sf_dir), LINE_KEYS)
     fitted = fit_features(training, TARGET_ROLES)
-    model = models.fit(spec, fitted.transform(training))
+    with models.kept_for_training(fitted.transform(training).select(LABEL_COLUMN, FEATURES)) as rows:
+        model = models.fit(spec, rows)
     return model, scoring.apply_model(model, fitted.transform(held_out)).select(*LINE_KEYS, LABEL_COLUMN, "prediction", "p1")
 
 
@@ -74,11 +75,9 @@ def score_peek(spark, sf_dir):
 def grid_search(spark, sf_dir):
     """The logistic grid over ten folds."""
     lines = add_fold(modelling_lines(spark, sf_dir), LINE_KEYS)
-    prepared = fit_features(lines, TARGET_ROLES).transform(lines).select(LABEL_COLUMN, FEATURES, "fold").persist()
-    try:
-        return models.search_table(models.search(models.LOGISTIC, prepared), models.LOGISTIC, spark)
-    finally:
-        prepared.unpersist()
+    prepared = fit_features(lines, TARGET_ROLES).transform(lines).select(LABEL_COLUMN, FEATURES, "fold")
+    with models.kept_for_training(prepared) as rows:
+        return models.search_table(models.search(models.LOGISTIC, rows, parallelism=4), models.LOGISTIC, spark)
 
 
 @query("train_job")
@@ -102,7 +101,8 @@ def saved_models_score(spark, sf_dir):
     """Fit, save, load in one go; the loaded pipeline and model score rows that have no target."""
     lines = modelling_lines(spark, sf_dir)
     fitted = fit_features(lines, TARGET_ROLES)
-    model = models.fit(models.LOGISTIC, fitted.transform(lines))
+    with models.kept_for_training(fitted.transform(lines).select(LABEL_COLUMN, FEATURES)) as rows:
+        model = models.fit(models.LOGISTIC, rows)
     pipeline_path, model_path = fresh_path(spark, "pipeline"), fresh_path(spark, "lr")
     save_pipeline(fitted.model, pipeline_path)
     save_models({"lr": model}, {"lr": model_path})
@@ -115,7 +115,8 @@ def score_job(spark, sf_dir):
     """The batch scoring job, its CSV output read back."""
     lines = modelling_lines(spark, sf_dir)
     fitted = fit_features(lines, TARGET_ROLES)
-    model = models.fit(models.LOGISTIC, fitted.transform(lines))
+    with models.kept_for_training(fitted.transform(lines).select(LABEL_COLUMN, FEATURES)) as rows:
+        model = models.fit(models.LOGISTIC, rows)
     pipeline_path, model_path, output = (fresh_path(spark, n) for n in ("pipeline", "lr", "scores"))
     save_pipeline(fitted.model, pipeline_path)
     save_models({"lr": model}, {"lr": model_path})

@@ -30,7 +30,9 @@ def complement(col: Column | str) -> Column:
 
 
 def clipped(score: Column | str) -> Column:
-    return F.greatest(F.lit(SCORE_MARGIN), F.least(F.lit(1.0 - SCORE_MARGIN), _column(score)))
+    """The score kept off 0 and 1; null stays null."""
+    p = _column(score)
+    return F.when(p.isNotNull(), F.greatest(F.lit(SCORE_MARGIN), F.least(F.lit(1.0 - SCORE_MARGIN), p)))
 
 
 def log_loss(label: Column | str, score: Column | str) -> Column:

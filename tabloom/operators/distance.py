@@ -43,11 +43,12 @@ def ks_two_sample(counts: DataFrame) -> DataFrame:
 def _kolmogorov_p_value(statistic: Column, n: Column) -> Column:
     """Limiting p-value of a one-sample distance. The series is alternating and needs a large
     argument; below 0.2 the p-value is 1 to more than ten places."""
-    x = F.greatest(F.sqrt(n) * statistic, F.lit(0.2))
+    argument = F.sqrt(n) * statistic
+    x = F.greatest(argument, F.lit(0.2))
     total = F.lit(0.0)
     for k in range(1, SERIES_TERMS + 1):
         total = total + F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * x * x)
-    return F.when(F.sqrt(n) * statistic <= 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
+    return F.when(argument <= 0.2, F.lit(1.0)).when(argument > 0.2, F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
 def ks_normal(counts: DataFrame, described: DataFrame, roles: Roles, fit: str = "class0") -> DataFrame:

@@ -137,7 +137,8 @@ def histogram(df: DataFrame, roles: Roles, bins: int = 10) -> DataFrame:
         if lower is None or lower == upper:
             return F.when(F.col(column).isNotNull(), F.lit(1))
         place = F.width_bucket(F.col(column).cast("double"), F.lit(lower), F.lit(upper), F.lit(bins))
-        return F.least(place, F.lit(bins)).cast("int")
+        # least() passes over nulls, so a null place is kept out of it.
+        return F.when(place.isNotNull(), F.least(place, F.lit(bins)).cast("int"))
 
     binned = present.select(F.col(roles.label).cast("string").alias("label"), *[bin_of(c).alias(c) for c in roles.numeric])
     counts = (

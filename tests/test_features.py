@@ -1,0 +1,147 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from tabloom import Roles
+from tabloom.operators.features import category_ranks, check_input, feature_names, fit_features, input_report, stage_table
+from tabloom.presets import BANK_CONTACTS_ROLES, BANK_CONTACTS_SCHEMA
+from tabloom.sources.tables import conform
+
+# Three contacts. Whole numbers stand where the schema wants doubles.
+CONTACTS_COLUMNS = (
+    "age int, job string, marital string, education string, defaulted string, housing string, loan string, contact_no string,"
+    " month_name string, day_of_week string, duration int, campaign int, pdays int, previous int, poutcome string,"
+    " emp_var_rate double, cons_price_idx double, cons_conf_idx double, euribor3m double, nr_employed int, y string"
+)
+
+
+def contact(age, job, marital, defaulted, housing, loan, duration, y):
+    return (
+        age, job, marital, "basic", defaulted, housing, loan, "cellular", "aug", "thu", duration, 1, 999, 0, "nonexistent",
+        1.1, 93.9, -36.4, 4.8, 5191, y,
+    )
+
+
+CONTACTS = [
+    contact(25, "technician", "single", "no", "no", "yes", 20, "no"),
+    contact(50, "entrepreneur", "married", "unknown", "yes", "no", 1042, "yes"),
+    contact(10, "entrepreneur", "single", "unknown", "yes", "no", 1042, "no"),
+]
+
+
+@pytest.fixture()
+def contacts(spark):
+    return conform(spark.createDataFrame(CONTACTS, CONTACTS_COLUMNS), BANK_CONTACTS_SCHEMA)
+
+
+@pytest.mark.parametrize("label_order", ["roles", "frequency"])
+def test_three_contacts(contacts, label_order):
+    roles = Roles("y", "no", "yes", ("age", "duration"), ("job", "marital"))
+    prepared = fit_features(contacts, roles, label_order=label_order).transform(contacts)
+    assert prepared.columns[:24] == [*BANK_CONTACTS_SCHEMA.names, "label", "idx_job", "idx_marital"]
+    rows = prepared.select("*", vector_to_array("scaledfeatures").alias("scaled"), vector_to_array("features").alias("x")).collect()
+    assert [r["label"] for r in rows] == [0.0, 1.0, 0.0]
+    assert [r["idx_job"] for r in rows] == [1.0, 0.0, 0.0]
+    assert [r["idx_marital"] for r in rows] == [0.0, 1.0, 0.0]
+    assert [r["scaled"] for r in rows] == [[0.375, 0.0], [1.0, 1.0], [0.0, 1.0]]
+    assert [r["x"] for r in rows] == [[0.0, 1.0, 0.375, 0.0], [1.0, 0.0, 1.0, 1.0], [1.0, 1.0, 0.0, 1.0]]
+
+
+def test_preset_matches_its_schema():
+    assert len(BANK_CONTACTS_SCHEMA.names) == 21
+    assert set(BANK_CONTACTS_ROLES.columns) <= set(BANK_CONTACTS_SCHEMA.names)
+    assert (len(BANK_CONTACTS_ROLES.numeric), len(BANK_CONTACTS_ROLES.categorical)) == (8, 8)
+
+
+def roles_for(*categorical, numeric=("x",)):
+    return Roles("y", "n", "p", numeric, categorical)
+
+
+def test_ties_are_broken_by_value(spark):
+    df = spark.createDataFrame([("n", 1.0, k) for k in "bacc"] + [("p", 2.0, "c")], "y string, x double, k string")
+    fitted = fit_features(df, roles_for("k"))
+    assert [list(a) for a in fitted.model.stages[1].labelsArray] == [["c", "a", "b"]]
+    ranks = {r["value"]: (r["n"], r["idx"]) for r in category_ranks(df, ["k"]).collect()}
+    assert ranks == {"c": (3, 0.0), "a": (1, 1.0), "b": (1, 2.0)}
+
+
+def test_last_category_is_all_zeros(spark):
+    df = spark.createDataFrame([("n", 1.0, k) for k in "aaabbc"] + [("p", 2.0, "a")], "y string, x double, k string")
+    prepared = fit_features(df, roles_for("k")).transform(df).where(F.col("k") == "c")
+    assert prepared.select(vector_to_array("vec_idx_k").alias("v")).first()["v"] == [0.0, 0.0]
+
+
+def test_constant_number_scales_to_half(spark):
+    df = spark.createDataFrame([("n", 3.0), ("p", 3.0)], "y string, x double")
+    assert [r["v"] for r in fit_features(df, roles_for()).transform(df).select(vector_to_array("scaledfeatures").alias("v")).collect()] == [[0.5], [0.5]]
+
+
+def test_single_value_category_is_left_out_and_reported(spark):
+    df = spark.createDataFrame([("n", 1.0, "q", "a"), ("p", 2.0, "q", "b")], "y string, x double, k string, m string")
+    fitted = fit_features(df, roles_for("k", "m"))
+    assert fitted.dropped == ("k",) and fitted.roles.categorical == ("m",)
+    assert fitted.transform(df).count() == 2
+
+
+def test_unseen_category(spark):
+    df = spark.createDataFrame([("n", 1.0, "a"), ("p", 2.0, "b")], "y string, x double, k string")
+    new = spark.createDataFrame([("n", 1.0, "zz"), ("n", 1.0, None)], "y string, x double, k string")
+    with pytest.raises(Exception, match="(?i)unseen|null"):
+        fit_features(df, roles_for("k")).transform(new).collect()
+    kept = fit_features(df, roles_for("k"), handle_invalid="keep").transform(new)
+    assert [r["idx_k"] for r in kept.collect()] == [2.0, 2.0]
+
+
+def test_null_category_is_ignored_at_fit(spark):
+    df = spark.createDataFrame([("n", 1.0, "a"), ("p", 2.0, "b"), ("p", 2.0, None)], "y string, x double, k string")
+    assert [len(a) for a in fit_features(df, roles_for("k")).model.stages[1].labelsArray] == [2]
+
+
+def test_null_number_is_an_error(spark):
+    df = spark.createDataFrame([("n", 1.0), ("p", None)], "y string, x double")
+    with pytest.raises(Exception):
+        fit_features(df, roles_for()).transform(df).collect()
+
+
+def test_third_target_value_is_an_error(spark):
+    df = spark.createDataFrame([("n", 1.0), ("p", 2.0), ("other", 2.0)], "y string, x double")
+    with pytest.raises(Exception):
+        fit_features(df, roles_for()).transform(df).collect()
+
+
+def test_scoring_without_a_label(spark):
+    df = spark.createDataFrame([("n", 1.0, "a"), ("p", 2.0, "b")], "y string, x double, k string")
+    assert fit_features(df, roles_for("k")).transform(df.drop("y")).select("features").count() == 2
+
+
+def test_too_many_categories_are_refused(spark):
+    df = spark.range(500).select(F.lit("n").alias("y"), F.col("id").cast("double").alias("x"), F.col("id").cast("string").alias("k"))
+    with pytest.raises(ValueError, match="categories"):
+        fit_features(df, roles_for("k"), max_levels=100)
+    with pytest.raises(ValueError, match="categories"):
+        category_ranks(df, ["k"], max_levels=100)
+
+
+def test_empty_column_is_reported(spark):
+    df = spark.createDataFrame([("n", None), ("p", None)], "y string, x double")
+    with pytest.raises(ValueError, match="every value is null"):
+        check_input(df, roles_for())
+
+
+def test_input_report(spark):
+    df = spark.createDataFrame([("n", 1.0, "a"), ("p", None, "b"), ("p", 3.0, None)], "y string, x double, k string")
+    got = {r["column"]: (r["role"], r["rows"], r["nulls"], r["levels"]) for r in input_report(df, roles_for("k")).collect()}
+    assert got == {"y": ("label", 3, 0, 2), "k": ("categorical", 3, 1, 2), "x": ("numeric", 3, 1, None)}
+
+
+def test_stage_table_and_names(spark, contacts):
+    roles = Roles("y", "no", "yes", ("age", "duration"), ("job", "marital"))
+    fitted = fit_features(contacts, roles)
+    rows = stage_table(fitted.model, spark).orderBy("position").collect()
+    assert [r["stage"] for r in rows] == [
+        "StringIndexerModel", "StringIndexerModel", "OneHotEncoderModel", "VectorAssembler", "MinMaxScalerModel", "VectorAssembler",
+    ]
+    assert rows[1]["inputs"] == "job, marital" and rows[1]["outputs"] == "idx_job, idx_marital"
+    assert feature_names(fitted.transform(contacts)) == ["vec_idx_job_entrepreneur", "vec_idx_marital_single", "scaledfeatures_0", "scaledfeatures_1"]
