@@ -178,16 +178,17 @@ def normal_cdf_sql(x: str) -> str:
 
         return f"({polynomial(pair[0])} / {polynomial(pair[1])})"
 
-    size = f"abs({x})"
-    inverse = f"(1.0::DOUBLE / greatest({size}, 4.0::DOUBLE)^2)"
-    middle = f"exp(-{size} * {size}) * {ratio(size, normal.ERFC_MIDDLE)}"
+    size = f"least(abs({x}), {normal.TAIL_CAP}::DOUBLE)"
+    square = f"({size} * {size})"
     large = (
-        f"exp(-{size} * {size}) / greatest({size}, 4.0::DOUBLE)"
-        f" * ({normal.INVERSE_SQRT_PI!r}::DOUBLE - {inverse} * {ratio(inverse, normal.ERFC_LARGE)})"
+        f"({normal.INVERSE_SQRT_PI!r}::DOUBLE - {ratio(square, tuple(c[::-1] for c in normal.ERFC_LARGE))} / {square}) / {size}"
+    )
+    tail = f"exp(-{square}) * CASE WHEN {size} <= 4.0 THEN {ratio(size, normal.ERFC_MIDDLE)} ELSE {large} END"
+    small = f"0.5::DOUBLE + 0.5::DOUBLE * {x} * {ratio(square, normal.ERF_SMALL)}"
+    return (
+        f"CASE WHEN {size} <= {normal.ERF_SMALL_LIMIT} THEN {small}"
+        f" ELSE 0.5::DOUBLE + sign({x}) * (0.5::DOUBLE - 0.5::DOUBLE * {tail}) END"
     )
-    tail = f"(CASE WHEN {size} <= 4.0 THEN {middle} ELSE {large} END * 0.5::DOUBLE)"
-    small = f"0.5::DOUBLE + 0.5::DOUBLE * {x} * {ratio(f'({x} * {x})', normal.ERF_SMALL)}"
-    return f"CASE WHEN {size} <= {normal.ERF_SMALL_LIMIT} THEN {small} WHEN {x} > 0 THEN 1.0::DOUBLE - {tail} ELSE {tail} END"
 
 
 def ks_normal_sql(columns, fit: str) -> str:

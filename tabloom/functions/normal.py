@@ -32,6 +32,7 @@ ERFC_LARGE = (
 )
 ERF_SMALL_LIMIT = 0.46875
 ERFC_MIDDLE_LIMIT = 4.0
+TAIL_CAP = 40.0
 INVERSE_SQRT_PI = 5.6418958354775628695e-1
 INVERSE_SQRT_TWO = 7.0710678118654752440e-1
 
@@ -48,23 +49,20 @@ def _ratio(x: Column, pair: tuple[Sequence[float], Sequence[float]]) -> Column:
 
 
 def normal_cdf(value: Column, mean: Column | float = 0.0, sd: Column | float = 1.0) -> Column:
-    """P(X <= value) for a normal X; null where ``sd`` is zero or an argument is null."""
+    """P(X <= value) for a normal X; null where ``sd`` is zero or an argument is null.
+
+    Written so that each approximation occurs once: the generated Java method stays below the
+    size above which the JVM no longer compiles it. The absolute error is below 1e-15.
+    """
     mean = mean if isinstance(mean, Column) else F.lit(float(mean))
     sd = sd if isinstance(sd, Column) else F.lit(float(sd))
     x = (value - mean) / F.nullif(sd, F.lit(0.0)) * F.lit(INVERSE_SQRT_TWO)
-    size = F.abs(x)
-    # The last branch divides by a power of |x|; the floor keeps it finite where it is not used.
-    inverse = F.lit(1.0) / F.pow(F.greatest(size, F.lit(ERFC_MIDDLE_LIMIT)), F.lit(2.0))
-    small = x * _ratio(x * x, ERF_SMALL)
-    middle = F.exp(-size * size) * _ratio(size, ERFC_MIDDLE)
-    large = (
-        F.exp(-size * size)
-        / F.greatest(size, F.lit(ERFC_MIDDLE_LIMIT))
-        * (F.lit(INVERSE_SQRT_PI) - inverse * _ratio(inverse, ERFC_LARGE))
-    )
-    upper_tail = F.when(size <= ERFC_MIDDLE_LIMIT, middle).otherwise(large) * 0.5
-    return (
-        F.when(size <= ERF_SMALL_LIMIT, F.lit(0.5) + F.lit(0.5) * small)
-        .when(x > 0, F.lit(1.0) - upper_tail)
-        .otherwise(upper_tail)
+    # Nothing is left of the tail at the cap, and powers of it stay finite.
+    size = F.when(x.isNotNull(), F.least(F.abs(x), F.lit(TAIL_CAP)))
+    square = size * size
+    # The third approximation is a ratio in 1/square; both sides are multiplied by square**5.
+    large = (F.lit(INVERSE_SQRT_PI) - _ratio(square, tuple(c[::-1] for c in ERFC_LARGE)) / square) / size
+    tail = F.exp(-square) * F.when(size <= ERFC_MIDDLE_LIMIT, _ratio(size, ERFC_MIDDLE)).otherwise(large)
+    return F.when(size <= ERF_SMALL_LIMIT, F.lit(0.5) + F.lit(0.5) * x * _ratio(square, ERF_SMALL)).otherwise(
+        F.lit(0.5) + F.signum(x) * (F.lit(0.5) - F.lit(0.5) * tail)
     )

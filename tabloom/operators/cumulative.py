@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MIN_BUCKETS = 16
 MAX_BUCKETS = 4096
+# Sketches of input partitions are first merged in this many groups.
+MERGE_GROUPS = 1024
 # Bucket totals have (buckets + 1) rows per series; up to this many rows they are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -44,11 +46,23 @@ def _bucket_count(df: DataFrame) -> int:
 
 
 def _borders(df: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
-    """Bucket borders per column: at most ``buckets - 1`` numbers each reach the driver."""
-    steps = [i / buckets for i in range(1, buckets)]
+    """Bucket borders per column: at most ``buckets - 1`` numbers each reach the driver.
+
+    Every task builds one small sketch per column. The sketches are merged in two steps, so that
+    no task receives one from every input partition.
+    """
+    size = max(200, min(8192, 2 * buckets))
+    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    partial = df.groupBy(group.alias("g")).agg(*[F.kll_sketch_agg_double(c, size).alias(c) for c in columns])
+    merged = partial.agg(*[F.kll_merge_agg_double(c).alias(c) for c in columns])
+    # A sketch without any value has no quantiles to ask for.
+    quantiles = merged.select(
+        *[F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, steps)).alias(c) for c in columns]
+    ).first()
     borders = []
-    for quantiles in df.approxQuantile(list(columns), steps, 1.0 / (2 * buckets)):
-        inner = sorted({q for q in quantiles if math.isfinite(q)}) or [0.0]
+    for column in columns:
+        inner = sorted({q for q in quantiles[column] or [] if math.isfinite(q)}) or [0.0]
         borders.append([-math.inf, *inner, math.inf])
     return borders
 

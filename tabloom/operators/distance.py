@@ -34,10 +34,13 @@ def _share(count: Column, total: Column) -> Column:
     return count / F.nullif(total, F.lit(0))
 
 
+def _gap() -> Column:
+    return F.abs(_share(F.col("cum_n0"), F.col("total_n0")) - _share(F.col("cum_n1"), F.col("total_n1")))
+
+
 def ks_two_sample(counts: DataFrame) -> DataFrame:
     """``(feature, ks_statistic)``: largest gap between the two class distributions."""
-    gap = F.abs(_share(F.col("cum_n0"), F.col("total_n0")) - _share(F.col("cum_n1"), F.col("total_n1")))
-    return counts.groupBy("feature").agg(F.max(gap).alias("ks_statistic"))
+    return counts.groupBy("feature").agg(F.max(_gap()).alias("ks_statistic"))
 
 
 def _kolmogorov_p_value(statistic: Column, n: Column) -> Column:
@@ -51,38 +54,48 @@ def _kolmogorov_p_value(statistic: Column, n: Column) -> Column:
     return F.when(argument <= 0.2, F.lit(1.0)).when(argument > 0.2, F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
-def ks_normal(counts: DataFrame, described: DataFrame, roles: Roles, fit: str = "class0") -> DataFrame:
-    """``(feature, label, ks_statistic, p_value)``: distance of each class from a normal.
-
-    ``fit="class0"`` compares both classes with the normal that has the mean and standard
-    deviation of the negative class; ``fit="own"`` gives every class its own. A class without
-    spread gets a null statistic.
-    """
+def _distances(counts: DataFrame, described: DataFrame, roles: Roles, fit: str) -> DataFrame:
+    """``(feature, ks_0, ks_1, ks_between, n_0, n_1)`` from one pass over the running counts."""
     if fit not in ("class0", "own"):
         raise ValueError(f"fit must be 'class0' or 'own', not {fit!r}")
-    pairs = pair_classes(described, roles).where(F.col("statistic").isin("mean", "stddev"))
-    moments = pairs.groupBy("feature").agg(
+    moments = described.groupBy("feature").agg(
         *[
-            F.max(F.when(F.col("statistic") == statistic, F.col(f"class_{i}"))).alias(f"{statistic}_{i}")
+            F.max(F.when(F.col("label") == name, F.col(statistic))).alias(f"{statistic}_{i}")
             for statistic in ("mean", "stddev")
-            for i in (0, 1)
+            for i, name in enumerate(roles.class_names)
         ]
     )
+    # Each distribution function is a column of its own: it is used twice and is not cheap.
+    fits = (0,) if fit == "class0" else (0, 1)
+    normals = {f"normal_{k}": normal_cdf(F.col("value"), F.col(f"mean_{k}"), F.col(f"stddev_{k}")) for k in fits}
 
     def distance(i: int) -> Column:
-        k = 0 if fit == "class0" else i
-        normal = normal_cdf(F.col("value"), F.col(f"mean_{k}"), F.col(f"stddev_{k}"))
+        normal = F.col(f"normal_{0 if fit == 'class0' else i}")
         upper = _share(F.col(f"cum_n{i}"), F.col(f"total_n{i}"))
         lower = _share(F.col(f"cum_n{i}") - F.col(f"n{i}"), F.col(f"total_n{i}"))
         # Values that only the other class has are no steps of this class's distribution.
         return F.when(F.col(f"n{i}") > 0, F.greatest(F.abs(upper - normal), F.abs(normal - lower)))
 
     # One row of moments per numeric column: its size is the width of the table.
-    per_feature = (
+    return (
         counts.join(F.broadcast(moments), "feature")
+        .withColumns(normals)
         .groupBy("feature")
-        .agg(*[F.max(distance(i)).alias(f"ks_{i}") for i in (0, 1)], *[F.max(f"total_n{i}").alias(f"n_{i}") for i in (0, 1)])
+        .agg(
+            *[F.max(distance(i)).alias(f"ks_{i}") for i in (0, 1)],
+            F.max(_gap()).alias("ks_between"),
+            *[F.max(f"total_n{i}").alias(f"n_{i}") for i in (0, 1)],
+        )
     )
+
+
+def ks_normal(counts: DataFrame, described: DataFrame, roles: Roles, fit: str = "class0") -> DataFrame:
+    """``(feature, label, ks_statistic, p_value)``: distance of each class from a normal.
+
+    ``fit="class0"`` compares both classes with the normal that has the mean and standard
+    deviation of the negative class; ``fit="own"`` gives every class its own. A class without
+    spread gets a null statistic.
+    """
     rows = [
         F.struct(
             F.lit(name).alias("label"),
@@ -91,7 +104,7 @@ def ks_normal(counts: DataFrame, described: DataFrame, roles: Roles, fit: str =
         )
         for i, name in enumerate(roles.class_names)
     ]
-    return per_feature.select("feature", F.inline(F.array(*rows)))
+    return _distances(counts, described, roles, fit).select("feature", F.inline(F.array(*rows)))
 
 
 def numeric_report(df: DataFrame, roles: Roles, fit: str = "class0", buckets: int | None = None) -> DataFrame:
@@ -101,22 +114,9 @@ def numeric_report(df: DataFrame, roles: Roles, fit: str = "class0", buckets: in
     the distance between the classes (``ks_two_sample``, the same in both columns).
     """
     described = describe_by_class(df, roles)
-    counts = class_counts(df, roles, buckets)
-    normal = (
-        ks_normal(counts, described, roles, fit)
-        .groupBy("feature")
-        .agg(
-            *[
-                F.max(F.when(F.col("label") == name, F.col("ks_statistic"))).alias(f"class_{i}")
-                for i, name in enumerate(roles.class_names)
-            ]
-        )
-        .select("feature", F.lit("ks_normal").alias("statistic"), "class_0", "class_1")
-    )
-    between = ks_two_sample(counts).select(
-        "feature",
-        F.lit("ks_two_sample").alias("statistic"),
-        F.col("ks_statistic").alias("class_0"),
-        F.col("ks_statistic").alias("class_1"),
-    )
-    return pair_classes(described, roles).unionByName(normal).unionByName(between)
+    rows = [
+        F.struct(F.lit(name).alias("statistic"), F.col(a).alias("class_0"), F.col(b).alias("class_1"))
+        for name, a, b in (("ks_normal", "ks_0", "ks_1"), ("ks_two_sample", "ks_between", "ks_between"))
+    ]
+    distances = _distances(class_counts(df, roles, buckets), described, roles, fit).select("feature", F.inline(F.array(*rows)))
+    return pair_classes(described, roles).unionByName(distances)

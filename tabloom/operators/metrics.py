@@ -107,17 +107,22 @@ def evaluate(
         F.sum(_rate(pos, all_pos) * (precision_before + precision) / 2.0).alias("area_under_pr"),
         F.sum(_rate(neg, all_neg) * _rate(tp_before + tp, all_pos) / 2.0).alias("area_under_roc"),
         (F.sum(loss) / F.nullif(F.sum(pos + neg), F.lit(0.0))).alias("log_loss"),
-        *[F.sum(name).alias(name) for name in ("pos", "neg", "hit", "alarm")],
+        # Each weight is taken once from the values and once from the bucket totals. Were one of them
+        # unused on one side only, the two sides would no longer share a shuffle and a scan.
+        F.sum("hit").alias("hits"),
+        F.sum("alarm").alias("alarms"),
+        (F.max("total_pos") - F.max("total_hit")).alias("misses"),
+        (F.max("total_neg") - F.max("total_alarm")).alias("rejections"),
     )
     return totals.select(
         "model",
         "area_under_pr",
         "area_under_roc",
         "log_loss",
-        F.col("alarm").alias("false_positives"),
-        F.col("hit").alias("true_positives"),
-        (F.col("neg") - F.col("alarm")).alias("true_negatives"),
-        (F.col("pos") - F.col("hit")).alias("false_negatives"),
+        F.col("alarms").alias("false_positives"),
+        F.col("hits").alias("true_positives"),
+        F.col("rejections").alias("true_negatives"),
+        F.col("misses").alias("false_negatives"),
     )
 
 

@@ -46,7 +46,8 @@ def test_grids(spark, spec, size):
     assert "maxIter" in models.parameter_help(models.LOGISTIC)
 
 
-def test_search_repeats_exactly(spark, prepared):
+def test_search_does_not_depend_on_partitioning(spark, prepared):
+    # The folds are the same. MLlib bins the curve per partition, so the areas agree to three places.
     tables = [
         [tuple(r) for r in models.search_table(models.search(SMALL[0], p, folds=3, parallelism=4), SMALL[0], spark).collect()]
         for p in (prepared, prepared.repartition(5))
@@ -54,7 +55,7 @@ def test_search_repeats_exactly(spark, prepared):
     assert len(tables[0]) == 4
     for a, b in zip(*tables):
         assert a[:3] == b[:3]
-        assert a[3:] == pytest.approx(b[3:], abs=1e-6)
+        assert a[3:] == pytest.approx(b[3:], abs=1e-3)
 
 
 def test_node_cache_does_not_change_the_forest(prepared):

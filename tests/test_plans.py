@@ -60,6 +60,13 @@ def test_running_totals_scan_once_and_window_inside_buckets(lines):
     assert "BuildRight" in plan and "partial_sum" in plan
 
 
+@pytest.mark.parametrize("name", ["numeric_report", "ks_two_sample", "threshold_curve", "curve_areas", "evaluate_scores", "fit_summary"])
+def test_rank_statistics_read_their_rows_once(spark, sf_dir, name):
+    plan = executed_plan_of(contract.queries()[name](spark, sf_dir))
+    # The report also describes the columns, which is a scan with another aggregate.
+    assert plan.count("FileScan parquet") == (2 if name == "numeric_report" else 1)
+
+
 def test_only_bucket_totals_meet_in_one_task(spark, sf_dir):
     plan = executed_plan_of(metrics.evaluate(scored_lines(spark, sf_dir), {"m": ("p1", "prediction")}))
     assert plan.count("FileScan parquet") == 1
