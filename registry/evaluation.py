@@ -44,6 +44,22 @@ def curve_areas_few_scores(spark, sf_dir):
     return rounded(metrics.curve_areas(lines), "area_under_pr", "area_under_roc")
 
 
+@query(
+    "curve_areas_documents",
+    f"""WITH scored AS (SELECT CAST(quality AS DOUBLE) AS label, CAST(n_chars AS DOUBLE) AS p1, 0.0::DOUBLE AS prediction
+  FROM documents JOIN labels ON documents.doc_id = labels.doc_id),
+{CURVE_CTE[len(SCORED_CTE) + 1:]}
+SELECT round(area_under_pr, {PLACES}) AS area_under_pr, round(area_under_roc, {PLACES}) AS area_under_roc FROM areas""".replace(
+        "avg(-(label * ln(p1) + (1 - label) * ln(1 - p1)))", "0"
+    ),
+)
+def curve_areas_documents(spark, sf_dir):
+    """How well the length of a document ranks its quality; any number can serve as a score."""
+    labelled = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
+    scores = labelled.select(F.col("quality").cast("double").alias("label"), F.col("n_chars").cast("double").alias("p1"))
+    return rounded(metrics.curve_areas(scores), "area_under_pr", "area_under_roc")
+
+
 @query(
     "threshold_curve",
     f"""WITH {CURVE_CTE}

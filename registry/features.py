@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry.inputs import LINE_KEYS, LINE_NUMERIC, PLACES, STATUS_ROLES, TARGET_ROLES, lines_with_target, rounded, table
-from registry.profiling import union_all
 from tabloom import Roles
 from tabloom.functions.keys import KEY_MODULUS, KEY_MULTIPLIER
 from tabloom.operators.features import (

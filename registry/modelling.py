@@ -12,7 +12,7 @@ from tabloom.operators.split import add_fold, split
 from tabloom.plans import jobs
 from tabloom.sinks.fitted import save_models, save_pipeline
 from tabloom.sources.fitted import load_model, load_pipeline
-from tabloom.sources.shared import fresh_path
+from tabloom.sources.shared import fresh_path, stored
 from tabloom.sources.tables import read_csv
 from tabloom.roles import table_schema
 
@@ -28,7 +28,8 @@ def fitted_scores(spark, sf_dir, spec: models.ModelSpec):
     fitted = fit_features(training, TARGET_ROLES)
     with models.kept_for_training(fitted.transform(training).select(LABEL_COLUMN, FEATURES)) as rows:
         model = models.fit(spec, rows)
-    return model, scoring.apply_model(model, fitted.transform(held_out)).select(*LINE_KEYS, LABEL_COLUMN, "prediction", "p1")
+    scores = scoring.apply_model(model, fitted.transform(held_out)).select(*LINE_KEYS, LABEL_COLUMN, "prediction", "p1")
+    return model, stored(scores, f"scores-{spec.name}")
 
 
 def measured(spark, sf_dir, spec: models.ModelSpec):

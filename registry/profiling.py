@@ -156,6 +156,15 @@ def ks_two_sample_target(spark, sf_dir):
     return rounded(distance.ks_two_sample(counts), "ks_statistic")
 
 
+EVENT_SQL = "(SELECT *, event_type = 'purchase' AS bought FROM events)"
+
+
+@query("describe_events", describe_sql(EVENT_SQL, "bought", ("value",)))
+def describe_events(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("bought", F.col("event_type") == "purchase")
+    return rounded(profile.describe_by_class(events, Roles("bought", False, True, ("value",))), "mean", "stddev")
+
+
 LABELLED_SQL = "(SELECT d.*, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
 
 
@@ -166,6 +175,12 @@ def ks_documents(spark, sf_dir):
     return rounded(distance.ks_two_sample(counts), "ks_statistic")
 
 
+@query("crosstab_documents", crosstab_sql(LABELLED_SQL, "quality", ("lang", "source")))
+def crosstab_documents(spark, sf_dir):
+    labelled = table(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(table(spark, sf_dir, "labels"), "doc_id")
+    return profile.crosstab(labelled, Roles("quality", 0, 1, categorical=("lang", "source")))
+
+
 def normal_cdf_sql(x: str) -> str:
     """The error-function approximation of ``functions.normal`` as SQL, ``x`` already standardised."""
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from registry import query
-from registry.inputs import LINE_KEYS, LINE_NUMERIC, PLACES, SCORED_CTE, scored_lines, table
+from registry.inputs import LINE_NUMERIC, PLACES, SCORED_CTE, scored_lines, table
 from tabloom.operators import profile
 from tabloom.roles import table_schema
 from tabloom.sinks.predictions import write_predictions
