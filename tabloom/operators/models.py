@@ -110,17 +110,21 @@ def search(
     label: str = LABEL_COLUMN,
     features: str = FEATURES,
     seed: int = 42,
+    curve_bins: int = 1000,
 ) -> CrossValidatorModel:
     """Search the grid of ``spec`` by cross-validated area under the precision-recall curve.
 
     With ``fold_column`` the folds are the caller's (0..folds-1, see ``split.add_fold``) and
     repeat exactly. Without it MLlib draws them, which depends on the partitioning.
+
+    MLlib shortens a curve of at least ``2 * curve_bins`` distinct scores by grouping them within
+    partitions, so its area then depends slightly on the partitioning; 0 keeps every score.
     """
     estimator = spec.build(label, features)
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=spec.param_maps(estimator),
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName=SELECTION_METRIC),
+        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName=SELECTION_METRIC, numBins=curve_bins),
         numFolds=folds,
         parallelism=parallelism,
         collectSubModels=False,

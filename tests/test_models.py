@@ -47,15 +47,15 @@ def test_grids(spark, spec, size):
 
 
 def test_search_does_not_depend_on_partitioning(spark, prepared):
-    # The folds are the same. MLlib bins the curve per partition, so the areas agree to three places.
+    # With MLlib's default of 1,000 bins the fold of 2,057 rows differs by 3e-5: bins are cut per partition.
     tables = [
-        [tuple(r) for r in models.search_table(models.search(SMALL[0], p, folds=3, parallelism=4), SMALL[0], spark).collect()]
+        [tuple(r) for r in models.search_table(models.search(SMALL[0], p, folds=3, parallelism=4, curve_bins=0), SMALL[0], spark).collect()]
         for p in (prepared, prepared.repartition(5))
     ]
     assert len(tables[0]) == 4
     for a, b in zip(*tables):
         assert a[:3] == b[:3]
-        assert a[3:] == pytest.approx(b[3:], abs=1e-3)
+        assert a[3:] == pytest.approx(b[3:], abs=1e-9)
 
 
 def test_node_cache_does_not_change_the_forest(prepared):
