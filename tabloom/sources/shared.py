@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabloom-"))
         folder = spark.sparkContext.getCheckpointDir()
