@@ -31,10 +31,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back, for results that are dear to compute and
-    read more than once. Files in that folder are the cluster's to expire, as checkpoints are."""
+    read more than once. Files in that folder are the cluster's to expire, as checkpoints are.
+    ``codec`` is the Parquet compression; ``zstd`` is for large tables."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
