@@ -33,18 +33,43 @@ BREAK = r"[\n\r]+|(?<=[.!?;:])\s+"
 NO_WORD = r"[^\p{L}\p{N}]+"
 
 
-def bigrams(text: Column) -> Column:
-    """Distinct pairs of neighbouring normalised words; a lone word is a pair with itself."""
-    flat = F.trim(F.regexp_replace(F.lower(text), NO_WORD, " "))
-    ws = F.split(flat, " ")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(ws) - 1), lambda k: F.concat_ws(" ", F.get(ws, k - 1), F.get(ws, k)))
-    return F.when(flat == "", F.array().cast("array<string>")).when(F.size(ws) == 1, F.array(F.concat_ws(" ", flat, flat))).otherwise(F.array_distinct(pairs))
+def words(text: Column) -> Column:
+    """Normalised words; one empty word where there is none."""
+    return F.split(F.trim(F.regexp_replace(F.lower(text), NO_WORD, " ")), " ")
+
+
+def bigrams(ws: Column) -> Column:
+    """Distinct pairs of neighbouring words; a lone word is a pair with itself. ``ws`` is a column of
+    an earlier projection, so that it is computed once and not for every pair."""
+    n = F.size(ws)
+    pairs = F.zip_with(F.slice(ws, F.lit(1), n - 1), F.slice(ws, F.lit(2), n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    lone = F.transform(F.filter(ws, lambda w: w != ""), lambda w: F.concat(w, F.lit(" "), w))
+    return F.when(n == 1, lone).otherwise(F.array_distinct(pairs))
+
+
+def cover_words(templates: list[list[str]], ratio: float) -> list[str]:
+    """Words of which every part that reaches the threshold holds at least one.
+
+    Such a part shares at least ``ratio`` of a template's bigrams with it; so words are taken from
+    each template until fewer than that many bigrams are without one of them."""
+    cover: set[str] = set()
+    for pairs in templates:
+        halves = [tuple(p.split(" ")) for p in pairs]
+
+        def bare(words: set[str]) -> int:
+            return sum(a not in words and b not in words for a, b in halves)
+
+        while bare(cover) >= ratio * len(halves) - 1e-9:
+            rest = {w for pair in halves for w in pair} - cover
+            cover.add(max(sorted(rest, reverse=True), key=lambda w: (min(len(w), 5), bare(cover) - bare(cover | {w}), len(w))))
+    return sorted(cover)
 
 
 def template_table(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> DataFrame:
     """``template``, ``licence``, ``t_size`` and ``pair``, a row per bigram: a fixed few hundred."""
     rows = spark.createDataFrame([(k, *t) for k, t in enumerate(templates)], "template int, licence string, wording string")
-    return rows.select("template", "licence", bigrams(F.col("wording")).alias("pairs")).select(
+    rows = rows.withColumn("ws", words(F.col("wording")))
+    return rows.select("template", "licence", bigrams(F.col("ws")).alias("pairs")).select(
         "template", "licence", F.size("pairs").alias("t_size"), F.explode("pairs").alias("pair")
     )
 
@@ -55,17 +80,21 @@ def licence_scan(documents: DataFrame, templates: tuple[tuple[str, str], ...] =
 
     Null and empty texts and rows with a null id have none; repeated rows count once; other columns
     are left behind; an empty table gives no rows. The templates are a fixed short list, which is
-    broadcast; every part of every text is compared.
+    broadcast. Parts without any of the templates' cover words cannot reach the threshold and are passed
+    over; all others are compared.
     """
     known = template_table(documents.sparkSession, templates)
-    low, high = known.agg(F.min("t_size"), F.max("t_size")).first()
     ratio = threshold / (2 - threshold)  # least size ratio at which the threshold can be reached
-    parts = documents.where("doc_id is not null and text is not null").select("doc_id", F.posexplode(F.split("text", BREAK)).alias("part", "own"))
-    # A cheap bound first: there are no more bigrams than blanks and signs allow words.
-    parts = parts.where(F.length("own") >= 2 * ratio * low)
-    sized = parts.select("doc_id", "part", bigrams(F.col("own")).alias("pairs")).select("doc_id", "part", "pairs", F.size("pairs").alias("size"))
-    sized = sized.where((F.col("size") >= ratio * low) & (F.col("size") <= high / ratio))
-    spread = sized.select("doc_id", "part", "size", F.explode("pairs").alias("pair"))
+    wordings = known.groupBy("template").agg(F.sort_array(F.collect_list("pair")).alias("pairs")).orderBy("template").collect()
+    cover = cover_words([r["pairs"] for r in wordings], ratio)
+
+    def possible(text: Column) -> Column:
+        return F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(cover)})(?![\p{{L}}\p{{N}}])")
+
+    own = documents.where("doc_id is not null and text is not null").where(possible(F.col("text")))
+    parts = own.select("doc_id", F.posexplode(F.split("text", BREAK)).alias("part", "own")).where(possible(F.col("own")))
+    split = parts.select("doc_id", "part", words(F.col("own")).alias("ws")).select("doc_id", "part", bigrams(F.col("ws")).alias("pairs"))
+    spread = split.select("doc_id", "part", F.size("pairs").alias("size"), F.explode("pairs").alias("pair"))
     fits = (F.col("size") >= ratio * F.col("t_size")) & (F.col("t_size") >= ratio * F.col("size"))
     shared = spread.join(F.broadcast(known), "pair").where(fits).distinct()
     counts = shared.groupBy("doc_id", "part", "template", "licence", "size", "t_size").agg(F.count("*").alias("n"))
