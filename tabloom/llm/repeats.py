@@ -137,13 +137,13 @@ def repeated_windows(documents: DataFrame, length: int, gram: int) -> tuple[Data
 
     named = mapped(own.select("key", "text"), anchors, "key long, anchors array<long>, twice array<boolean>")
     rows = named.select("key", F.explode(F.arrays_zip("anchors", "twice")).alias("a")).select("key", F.col("a.anchors").alias("anchor"), F.col("a.twice").alias("twice"))
-    rows = stored(rows, "anchors")
+    rows = stored(rows, "anchors", "zstd")
     many = rows.groupBy("anchor").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.max("twice").alias("twice"))
     many = many.where("low <> high or twice").select("anchor")
     wanted = rows.join(many, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
     # One row stands for all copies of a text, so copies do not meet in one task.
     chosen = wanted.join(own.groupBy("key").agg(F.min("row").alias("row")), "key")
-    texts = stored(own.join(chosen, ["row", "key"]).dropDuplicates(["row", "key"]).select("key", "text", "anchors"), "texts")
+    texts = stored(own.join(chosen, ["row", "key"]).dropDuplicates(["row", "key"]).select("key", "text", "anchors"), "texts", "zstd")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -160,10 +160,10 @@ def repeated_windows(documents: DataFrame, length: int, gram: int) -> tuple[Data
                     out = []
             yield pd.DataFrame(out, columns=["anchor", "key", "start", "stop", "piece", "name"])
 
-    pieces = stored(mapped(texts, cut, "anchor long, key long, start long, stop long, piece binary, name binary"), "pieces")
+    pieces = stored(mapped(texts, cut, "anchor long, key long, start long, stop long, piece binary, name binary"), "pieces", "zstd")
     place = F.struct("key", "start")
     distinct = pieces.groupBy("anchor", "name").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.first("piece").alias("piece"))
-    distinct = stored(distinct.select("anchor", "name", "low.key", "low.start", (F.col("low") == F.col("high")).alias("once"), "piece"), "distinct")
+    distinct = stored(distinct.select("anchor", "name", "low.key", "low.start", (F.col("low") == F.col("high")).alias("once"), "piece"), "distinct", "zstd")
     size = distinct.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
     shards = distinct.repartition(max(partitions(documents.sparkSession), size // SHARD), "anchor").select("key", "start", "once", "piece")
     within = mapped(shards, lambda batches: sorted_shard(batches, length), "key long, start long, stop long")
