@@ -50,7 +50,9 @@ def crosstab_lines(spark, sf_dir):
     union_all(
         f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value,"
         " CAST(count(*) FILTER (l_linestatus = 'F') AS BIGINT) AS n_negative,"
-        f" CAST(count(*) FILTER (l_linestatus = 'O') AS BIGINT) AS n_positive FROM lineitem GROUP BY ALL"
+        " CAST(count(*) FILTER (l_linestatus = 'O') AS BIGINT) AS n_positive,"
+        " CAST(count(*) FILTER (l_linestatus NOT IN ('F', 'O')) AS BIGINT) AS n_other,"
+        f" CAST(count(*) FILTER (l_linestatus IS NULL) AS BIGINT) AS n_null FROM lineitem GROUP BY ALL"
         for c in STATUS_ROLES.categorical
     ),
 )
@@ -58,6 +60,23 @@ def crosstab_lines_wide(spark, sf_dir):
     return profile.crosstab_wide(table(spark, sf_dir, "lineitem"), STATUS_ROLES)
 
 
+@query(
+    "crosstab_all_labels",
+    """
+SELECT 'o_orderpriority' AS feature, o_orderpriority AS value,
+       CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS n_negative,
+       CAST(count(*) FILTER (o_orderstatus = 'O') AS BIGINT) AS n_positive,
+       CAST(count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS BIGINT) AS n_other,
+       CAST(count(*) FILTER (o_orderstatus IS NULL) AS BIGINT) AS n_null
+FROM orders GROUP BY ALL
+""",
+)
+def crosstab_all_labels(spark, sf_dir):
+    """Three target values, two of them classes: none is lost."""
+    roles = Roles("o_orderstatus", "F", "O", categorical=("o_orderpriority",))
+    return profile.crosstab_wide(table(spark, sf_dir, "orders"), roles)
+
+
 CUSTOMER_SQL = "(SELECT *, c_acctbal > 0 AS in_credit FROM customer)"
 
 
@@ -327,6 +346,37 @@ def histogram(spark, sf_dir):
     return rounded(profile.histogram(table(spark, sf_dir, "lineitem"), STATUS_ROLES, BINS), "lower", "upper")
 
 
+ODD_SQL = """CASE l_linenumber WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE WHEN 3 THEN 'nan'::DOUBLE
+       WHEN 4 THEN NULL ELSE l_quantity END"""
+
+
+@query(
+    "histogram_non_finite",
+    f"""
+WITH odd AS (SELECT l_linestatus AS label, {ODD_SQL} AS x FROM lineitem),
+span AS (SELECT min(x) AS lo, (max(x) - min(x)) / {BINS} AS width FROM odd WHERE isfinite(x)),
+placed AS (
+  SELECT label, lo, width, CASE WHEN isnan(x) THEN {BINS} + 2 WHEN isinf(x) AND x > 0 THEN {BINS} + 1 WHEN isinf(x) THEN 0
+         ELSE least({BINS}, floor((x - lo) / width + 1)) END AS place
+  FROM odd, span WHERE x IS NOT NULL
+)
+SELECT 'x' AS feature, label, CAST(place AS INTEGER) AS bin,
+       CASE WHEN place BETWEEN 1 AND {BINS} THEN round(lo + width * (place - 1), {PLACES}) END AS lower,
+       CASE WHEN place BETWEEN 1 AND {BINS} THEN round(lo + width * (place - 1) + width, {PLACES}) END AS upper,
+       CAST(count(*) AS BIGINT) AS n
+FROM placed GROUP BY label, lo, width, place
+""",
+)
+def histogram_non_finite(spark, sf_dir):
+    """Infinities and NaN have bins of their own, so the counts sum up to the rows with a value."""
+    odd = F.expr(
+        "CASE l_linenumber WHEN 1 THEN double('Infinity') WHEN 2 THEN double('-Infinity') WHEN 3 THEN double('NaN')"
+        " WHEN 4 THEN NULL ELSE l_quantity END"
+    )
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_linestatus").alias("label"), odd.alias("x"))
+    return rounded(profile.histogram(lines, Roles("label", "F", "O", numeric=("x",)), BINS), "lower", "upper")
+
+
 @query(
     "input_report",
     union_all(

@@ -131,6 +131,22 @@ def fit_features(
     return FittedFeatures(Pipeline(stages=feature_stages(used, handle_invalid, label_order)).fit(needed), used, dropped)
 
 
+def check_known(fitted: FittedFeatures, df: DataFrame) -> None:
+    """Raise if ``df`` has null or unknown categories, which would stop the scoring of its rows.
+
+    One aggregate over all categorical columns, for pipelines fitted with ``handle_invalid="error"``."""
+    for stage in fitted.model.stages:
+        if isinstance(stage, StringIndexerModel) and stage.isSet(stage.inputCols) and stage.getHandleInvalid() == "error":
+            known = dict(zip(stage.getInputCols(), stage.labelsArray, strict=True))
+            unknown = [
+                F.count_if(~F.coalesce(F.col(f"`{c}`").cast("string").isin(list(labels)), F.lit(False))).alias(c)
+                for c, labels in known.items()
+            ]
+            found = {c: n for c, n in df.agg(*unknown).first().asDict().items() if n}
+            if found:
+                raise ValueError(f"rows with categories that the features were not fitted on, use handle_invalid='keep': {found}")
+
+
 def stage_table(model: PipelineModel, spark) -> DataFrame:
     """``(position, stage, uid, inputs, outputs)`` of every stage of a fitted pipeline."""
 

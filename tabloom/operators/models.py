@@ -68,8 +68,7 @@ BOOSTED = ModelSpec(
 FOREST = ModelSpec(
     "rf",
     RandomForestClassifier,
-    # Remembering the node of every row changes the cost of deep trees, not the trees.
-    {"maxBins": 32, "maxDepth": 12, "numTrees": 150, "seed": 42, "cacheNodeIds": True},
+    {"maxBins": 32, "maxDepth": 12, "numTrees": 150, "seed": 42},
     {"numTrees": (150,), "maxDepth": (12,), "minInstancesPerNode": (1, 2, 5)},
 )
 DEFAULT_SPECS = (LOGISTIC, BOOSTED, FOREST)
@@ -77,22 +76,14 @@ DEFAULT_SPECS = (LOGISTIC, BOOSTED, FOREST)
 
 @contextmanager
 def kept_for_training(prepared: DataFrame) -> Iterator[DataFrame]:
-    """``prepared`` in the executors' cache while the block runs.
+    """``prepared`` in the executors' cache while the block runs, in the partitions it has.
 
-    Training reads its rows many times. Input in fewer partitions than there are cores, such as
-    one small file, would leave cores idle in every one of these passes, so it is spread out
-    once. Large input already has more partitions than cores and is left where it is.
-    """
-    cores = prepared.sparkSession.sparkContext.defaultParallelism
+    Tree ensembles draw rows per partition, so what is fitted depends on the partitioning; see
+    ``training_partitions`` of the train job for one that does not depend on the source."""
     kept = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-    spread = None
     try:
-        if kept.rdd.getNumPartitions() < cores:
-            spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-        yield spread if spread is not None else kept
+        yield kept
     finally:
-        if spread is not None:
-            spread.unpersist()
         kept.unpersist()
 
 
@@ -110,15 +101,15 @@ def search(
     label: str = LABEL_COLUMN,
     features: str = FEATURES,
     seed: int = 42,
-    curve_bins: int = 1000,
+    curve_bins: int = 0,
 ) -> CrossValidatorModel:
     """Search the grid of ``spec`` by cross-validated area under the precision-recall curve.
 
     With ``fold_column`` the folds are the caller's (0..folds-1, see ``split.add_fold``) and
     repeat exactly. Without it MLlib draws them, which depends on the partitioning.
 
-    MLlib shortens a curve of at least ``2 * curve_bins`` distinct scores by grouping them within
-    partitions, so its area then depends slightly on the partitioning; 0 keeps every score.
+    A positive ``curve_bins`` lets MLlib shorten a curve of at least ``2 * curve_bins`` distinct scores by grouping them within
+    partitions, so its area then depends slightly on the partitioning; by default every score is kept.
     """
     estimator = spec.build(label, features)
     validator = CrossValidator(

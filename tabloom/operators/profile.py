@@ -65,7 +65,8 @@ def crosstab(df: DataFrame, roles: Roles) -> DataFrame:
 
 
 def crosstab_wide(df: DataFrame, roles: Roles) -> DataFrame:
-    """``(feature, value, n_negative, n_positive)``: one column per target value."""
+    """``(feature, value, n_negative, n_positive, n_other, n_null)``: rows by target value; the
+    four counts sum up to all rows."""
     roles.require(df)
     label = F.col("label")
     return (
@@ -74,6 +75,8 @@ def crosstab_wide(df: DataFrame, roles: Roles) -> DataFrame:
         .agg(
             F.count_if(label == F.lit(roles.negative)).alias("n_negative"),
             F.count_if(label == F.lit(roles.positive)).alias("n_positive"),
+            F.count_if(~label.isin(*roles.classes)).alias("n_other"),
+            F.count_if(label.isNull()).alias("n_null"),
         )
     )
 
@@ -127,18 +130,29 @@ def histogram(df: DataFrame, roles: Roles, bins: int = 10) -> DataFrame:
 
     The range of each column is found first, by one aggregate that returns a single row. The top
     of the range belongs to the last bin. A column with one value has only bin 1; nulls are left out.
+    The range covers finite values: negative infinity counts in bin 0, infinity in bin ``bins + 1``
+    and NaN in bin ``bins + 2``, whose borders are null.
     """
     roles.require(df)
     present = df.where(F.col(roles.label).isin(*roles.classes))
-    ranges = {r["feature"]: (r["min"], r["max"]) for r in column_ranges(present, roles.numeric).collect()}
+    infinity = F.lit(float("inf"))
+
+    def finite(column: str) -> Column:
+        value = F.col(column).cast("double")
+        return F.when(~F.isnan(value) & (F.abs(value) != infinity), value)
+
+    only = present.select(*[finite(c).alias(c) for c in roles.numeric])
+    ranges = {r["feature"]: (r["min"], r["max"]) for r in column_ranges(only, roles.numeric).collect()}
 
     def bin_of(column: str) -> Column:
         lower, upper = ranges[column]
+        value = F.col(column).cast("double")
         if lower is None or lower == upper:
-            return F.when(F.col(column).isNotNull(), F.lit(1))
-        place = F.width_bucket(F.col(column).cast("double"), F.lit(lower), F.lit(upper), F.lit(bins))
-        # least() passes over nulls, so a null place is kept out of it.
-        return F.when(place.isNotNull(), F.least(place, F.lit(bins)).cast("int"))
+            place = F.lit(1)
+        else:
+            place = F.least(F.width_bucket(finite(column), F.lit(lower), F.lit(upper), F.lit(bins)), F.lit(bins)).cast("int")
+        beyond = F.when(F.isnan(value), F.lit(bins + 2)).when(value == infinity, F.lit(bins + 1)).when(value == -infinity, F.lit(0))
+        return F.when(value.isNotNull(), F.coalesce(beyond, place))
 
     binned = present.select(F.col(roles.label).cast("string").alias("label"), *[bin_of(c).alias(c) for c in roles.numeric])
     counts = (
@@ -152,5 +166,6 @@ def histogram(df: DataFrame, roles: Roles, bins: int = 10) -> DataFrame:
         raise ValueError("none of the numeric columns has a value")
     lowest = F.create_map(*[part for c in known for part in (F.lit(c), F.lit(ranges[c][0]))])
     width = F.create_map(*[part for c in known for part in (F.lit(c), F.lit((ranges[c][1] - ranges[c][0]) / bins))])
-    lower = lowest[F.col("feature")] + width[F.col("feature")] * (F.col("bin") - 1)
+    inside = (F.col("bin") >= 1) & (F.col("bin") <= bins)
+    lower = F.when(inside, lowest[F.col("feature")] + width[F.col("feature")] * (F.col("bin") - 1))
     return counts.select("feature", "label", "bin", lower.alias("lower"), (lower + width[F.col("feature")]).alias("upper"), "n")

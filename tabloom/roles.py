@@ -90,6 +90,12 @@ class Settings:
     folds: int = 10
     parallelism: int = 2
     seed: int = 42
+    check_header: bool = True
+    fit_features_on: str = "train"
+    handle_invalid: str = "error"
+    label_order: str = "roles"
+    max_levels: int = 10_000
+    training_partitions: int | None = None
 
 
 COLUMN_TYPES = {

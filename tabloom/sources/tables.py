@@ -28,6 +28,11 @@ def read_csv(
     """
     reader = spark.read.option("header", True).option("sep", separator).option("mode", mode).option("enforceSchema", not check_header)
     if corrupt_column:
+        if check_header:
+            for file in [path] if isinstance(path, str) else path:
+                found = csv_header(spark, file, separator)
+                if [c.lower() for c in found] != [c.lower() for c in schema.names]:
+                    raise ValueError(f"the header of {file} is {found}, the schema has {schema.names}")
         # The header check compares all declared columns, this one included.
         schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("enforceSchema", True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from registry.inputs import LINE_NUMERIC, STATUS_ROLES, TARGET_ROLES, scored_lines, table
@@ -89,3 +90,29 @@ def test_scoring_does_not_shuffle(spark, sf_dir):
 def test_no_python_worker(spark, sf_dir, name):
     plan = plan_of(contract.queries()[name](spark, sf_dir))
     assert not re.search("BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups|CartesianProduct|NestedLoop", plan)
+
+
+def test_categories_of_held_out_rows_only_are_found_before_fitting(spark):
+    from tabloom.operators import models
+    from tabloom.operators.split import split
+    from tabloom.plans import jobs
+    from tabloom.roles import Roles
+
+    roles = Roles("y", 0, 1, numeric=("x",), categorical=("c",))
+    rows = spark.range(300).selectExpr("id", "cast(id % 2 as int) y", "cast(id as double) x", "cast(id % 3 as string) c")
+    held = {r["id"] for r in split(rows, ["id"])[1].collect()}
+    odd = rows.withColumn("c", F.when(F.col("id") == min(held), "unseen").otherwise(F.col("c")))
+    fitted = []
+
+    class Never(models.LogisticRegression):
+        def _fit(self, dataset):
+            fitted.append(1)
+            return super()._fit(dataset)
+
+    spec = models.ModelSpec("lr", Never, {"maxIter": 2})
+    with pytest.raises(ValueError, match="keep"):
+        jobs.train(odd, roles, ["id"], [spec], folds=0)
+    assert not fitted
+    saved = []
+    trained = jobs.train(odd, roles, ["id"], [spec], folds=0, handle_invalid="keep", training_partitions=3, save=lambda f, m: saved.append(sorted(m)))
+    assert saved == [["lr"]] and trained.metrics.count() > 0
