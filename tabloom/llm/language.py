@@ -35,7 +35,7 @@ NO_LANGUAGE = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    bits: int = 15
+    bits: int = 13
     sizes: tuple[int, ...] = (1, 2, 3)
     rows_per_language: int = 500
     epochs: int = 12
@@ -81,7 +81,7 @@ def svm(x: np.ndarray, y: np.ndarray, settings: Settings) -> tuple[np.ndarray, f
     """A linear support vector machine for ``y`` in -1 and 1 by the averaged subgradient method on
     the hinge loss, both classes weighing the same. Returns weights and offset."""
     rng = np.random.default_rng(settings.seed)
-    size = np.sqrt((x * x).sum(1)).mean() or 1.0
+    size = np.float32(np.sqrt(np.einsum("ij,ij->i", x, x)).mean() or 1.0)
     x = x / size
     weight = np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-9), 0.5 / max((y < 0).mean(), 1e-9))
     w, b, mean_w, mean_b, step, penalty = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0, 0, 1e-4
