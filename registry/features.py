@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.inputs import LINE_KEYS, LINE_NUMERIC, PLACES, STATUS_ROLES, TARGET_ROLES, lines_with_target, rounded, table
 from tabloom import Roles
-from tabloom.functions.keys import KEY_MODULUS, KEY_MULTIPLIER
+from tabloom.functions.keys import KEY_MODULUS, seeded_multiplier
 from tabloom.operators.features import (
     FEATURES,
     NUMERIC_VECTOR,
@@ -120,6 +120,23 @@ def feature_vector(spark, sf_dir):
     return rounded(vectors, *[f"x_{i}" for i in range(len(FEATURE_ENTRIES))])
 
 
+@query(
+    "fitted_stage_list",
+    """
+SELECT CAST(position AS INTEGER) AS position, stage, inputs, outputs FROM (VALUES
+  (0, 'StringIndexerModel', 'target', 'label'),
+  (1, 'StringIndexerModel', 'l_returnflag, l_linenumber', 'idx_l_returnflag, idx_l_linenumber'),
+  (2, 'OneHotEncoderModel', 'idx_l_returnflag, idx_l_linenumber', 'vec_idx_l_returnflag, vec_idx_l_linenumber'),
+  (3, 'VectorAssembler', 'l_quantity, l_extendedprice, l_discount, l_tax', 'numericalfeatures'),
+  (4, 'MinMaxScalerModel', 'numericalfeatures', 'scaledfeatures'),
+  (5, 'VectorAssembler', 'vec_idx_l_returnflag, vec_idx_l_linenumber, scaledfeatures', 'features')
+) t(position, stage, inputs, outputs)
+""",
+)
+def fitted_stage_list(spark, sf_dir):
+    return fitted_stages(spark, sf_dir).drop("uid")
+
+
 @query("fitted_stages")
 def fitted_stages(spark, sf_dir):
     return stage_table(fit_features(lines_with_target(spark, sf_dir), TARGET_ROLES).model, spark)
@@ -127,9 +144,9 @@ def fitted_stages(spark, sf_dir):
 
 def bucket_sql(buckets: int, seed: int) -> str:
     """The arithmetic key bucket of ``functions.keys`` over the line keys."""
-    total = str(seed)
+    total = "0"
     for key in LINE_KEYS:
-        total = f"(({total}) * {KEY_MULTIPLIER} + {key} % {KEY_MODULUS}) % {KEY_MODULUS}"
+        total = f"(({total} + {key} % {KEY_MODULUS}) * {seeded_multiplier(seed)}) % {KEY_MODULUS}"
     return f"({total}) % {buckets}"
 
 
@@ -155,7 +172,7 @@ def fold_counts(spark, sf_dir):
     return add_fold(lines, LINE_KEYS, 10, SEED, method="arithmetic").groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("hash_split", "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_on_both_sides FROM lineitem")
+@query("hash_split", "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_on_both_sides, true AS nine_tenths_train FROM lineitem")
 def hash_split(spark, sf_dir):
     # The hash has no SQL counterpart. Its contract has: both sides together are the table.
     lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS)
@@ -163,4 +180,7 @@ def hash_split(spark, sf_dir):
     sides = training.withColumn("side", F.lit(1)).unionByName(held_out.withColumn("side", F.lit(2)))
     per_key = sides.groupBy(*LINE_KEYS).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("side") == 1).alias("trained"))
     both = (F.col("trained") > 0) & (F.col("trained") < F.col("n"))
-    return per_key.agg(F.sum("n").alias("n_rows"), F.count_if(both).alias("n_on_both_sides"))
+    share = F.sum("trained") / F.sum("n")
+    return per_key.agg(
+        F.sum("n").alias("n_rows"), F.count_if(both).alias("n_on_both_sides"), ((share > 0.87) & (share < 0.93)).alias("nine_tenths_train")
+    )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from registry import query
+from registry.features import SEED, bucket_sql
 from registry.inputs import LINE_KEYS, TARGET_ROLES, lines_with_target
 from tabloom.operators import metrics, models, scoring
 from tabloom.operators.features import FEATURES, LABEL_COLUMN, fit_features
-from tabloom.operators.split import add_fold, split
+from tabloom.operators.split import SPLIT_BUCKETS, add_fold, split
 from tabloom.plans import jobs
 from tabloom.sinks.fitted import save_models, save_pipeline
 from tabloom.sources.fitted import load_model, load_pipeline
@@ -22,9 +24,9 @@ def modelling_lines(spark, sf_dir):
     return lines_with_target(spark, sf_dir).select(*dict.fromkeys(LINE_KEYS + TARGET_ROLES.columns))
 
 
-def fitted_scores(spark, sf_dir, spec: models.ModelSpec):
+def fitted_scores(spark, sf_dir, spec: models.ModelSpec, method: str = "hash"):
     """Held-out rows scored by one classifier, fitted with its settings."""
-    training, held_out = split(modelling_lines(spark, sf_dir), LINE_KEYS)
+    training, held_out = split(modelling_lines(spark, sf_dir), LINE_KEYS, 90, SEED, method)
     fitted = fit_features(training, TARGET_ROLES)
     with models.kept_for_training(fitted.transform(training).select(LABEL_COLUMN, FEATURES)) as rows:
         model = models.fit(spec, rows)
@@ -52,6 +54,61 @@ def random_forest(spark, sf_dir):
     return measured(spark, sf_dir, models.FOREST)
 
 
+HELD_OUT_SQL = f"""
+SELECT CAST(count(*) AS BIGINT) AS n_scored, CAST(count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS n_keys,
+       CAST(count(*) AS BIGINT) AS n_inside, CAST(count(*) AS BIGINT) AS n_by_rule, true AS above_floor
+FROM lineitem WHERE {bucket_sql(SPLIT_BUCKETS, SEED)} >= 90
+"""
+FLOOR = 0.7
+
+
+def contract_query(spec: models.ModelSpec):
+    """What must hold of held-out scores whatever the fit: all rows scored, scores in [0, 1], the
+    class as the threshold says, and an area under the precision-recall curve above the floor."""
+
+    def run(spark, sf_dir):
+        _, scores = fitted_scores(spark, sf_dir, spec, "arithmetic")
+        rule = (F.col("p1") > spec.settings.get("threshold", 0.5)).cast("double")
+        area = metrics.compare_models(scores, {spec.name: ("p1", "prediction")}).where("metric = 'area_under_pr'")
+        counted = scores.agg(
+            F.count(F.lit(1)).alias("n_scored"),
+            F.count_distinct(F.struct(*LINE_KEYS)).alias("n_keys"),
+            F.count_if(F.col("p1").between(0, 1)).alias("n_inside"),
+            F.count_if(F.col("prediction") == rule).alias("n_by_rule"),
+        )
+        # One row beside one row.
+        return counted.withColumn("above_floor", F.lit(area.first()["value"] > FLOOR))
+
+    return run
+
+
+for spec in models.DEFAULT_SPECS:
+    query(f"held_out_contract_{spec.name}", HELD_OUT_SQL)(contract_query(spec))
+
+
+@query(
+    "saved_models_agree",
+    "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_same_features, CAST(count(*) AS BIGINT) AS n_same_score FROM lineitem",
+)
+def saved_models_agree(spark, sf_dir):
+    """A loaded pipeline and model give the features and scores of those that were saved."""
+    lines = modelling_lines(spark, sf_dir)
+    fitted = fit_features(lines, TARGET_ROLES)
+    with models.kept_for_training(fitted.transform(lines).select(LABEL_COLUMN, FEATURES)) as rows:
+        model = models.fit(models.LOGISTIC, rows)
+    pipeline_path, model_path = fresh_path(spark, "pipeline"), fresh_path(spark, "lr")
+    save_pipeline(fitted.model, pipeline_path)
+    save_models({"lr": model}, {"lr": model_path})
+    direct = fitted.transform(lines).select(F.col(FEATURES).alias("direct"), *TARGET_ROLES.columns[1:])
+    loaded = load_pipeline(pipeline_path).transform(direct)
+    both = scoring.score_side_by_side({"saved": model, "loaded": load_model("lr", model_path)}, loaded, ("direct", FEATURES))
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(vector_to_array("direct") == vector_to_array(FEATURES)).alias("n_same_features"),
+        F.count_if((F.col("p1_saved") == F.col("p1_loaded")) & (F.col("prediction_saved") == F.col("prediction_loaded"))).alias("n_same_score"),
+    )
+
+
 @query("model_scores")
 def model_scores(spark, sf_dir):
     return fitted_scores(spark, sf_dir, models.LOGISTIC)[1]

@@ -108,14 +108,13 @@ def statistics_sql(where: str, column: str, alias: str) -> str:
 
 @query(
     "describe_column_wide",
-    f"""SELECT a.statistic AS "Statistic", a.x AS l_quantity_l_linestatus_f, b.x AS l_quantity_l_linestatus_o
+    f"""SELECT a.statistic AS "Statistic", a.x AS "l_quantity_l_linestatus_F", b.x AS "l_quantity_l_linestatus_O"
 FROM ({statistics_sql("l_linestatus = 'F'", "l_quantity", "x")}) a
 JOIN ({statistics_sql("l_linestatus = 'O'", "l_quantity", "x")}) b ON a.statistic = b.statistic""",
 )
 def describe_column_wide(spark, sf_dir):
     wide = profile.describe_column(table(spark, sf_dir, "lineitem"), "l_quantity", STATUS_ROLES)
-    wide = wide.toDF("Statistic", "l_quantity_l_linestatus_f", "l_quantity_l_linestatus_o")
-    return rounded(wide, "l_quantity_l_linestatus_f", "l_quantity_l_linestatus_o")
+    return rounded(wide, "l_quantity_l_linestatus_F", "l_quantity_l_linestatus_O")
 
 
 @query(
@@ -233,7 +232,8 @@ def ks_normal_sql(columns, fit: str) -> str:
         for c in columns:
             blocks.append(
                 f"""SELECT '{c}' AS feature, '{name}' AS label,
-       max(greatest(abs(cum_n{i} / total_n{i} - normal), abs(normal - (cum_n{i} - n{i}) / total_n{i}))) AS ks_statistic
+       max(greatest(abs(cum_n{i} / total_n{i} - normal), abs(normal - (cum_n{i} - n{i}) / total_n{i}))) AS ks_statistic,
+       max(total_n{i}) AS n
 FROM (SELECT *, {normal_cdf_sql('x')} AS normal
       FROM (SELECT r.*, (r.value - m.mean) / m.sd * {normal.INVERSE_SQRT_TWO!r}::DOUBLE AS x
             FROM running r, (SELECT avg({c}) AS mean, stddev_samp({c}) AS sd FROM lineitem WHERE {fitted_on}) m
@@ -258,6 +258,22 @@ for how in ("class0", "own"):
     )
 
 
+# The limiting distribution of a one-sample distance, summed term by term.
+P_VALUE_SQL = " + ".join(f"{2 * (-1) ** (k - 1)} * exp(CAST({-2 * k * k} AS DOUBLE) * n * ks_statistic * ks_statistic)" for k in range(1, 13))
+
+
+@query(
+    "ks_normal_p_values",
+    f"SELECT feature, label, round(CASE WHEN sqrt(n) * ks_statistic <= 0.2 THEN 1 ELSE greatest(0, least(1, {P_VALUE_SQL})) END, {PLACES})"
+    f" AS p_value FROM ({ks_normal_sql(LINE_NUMERIC, 'own')})",
+)
+def ks_normal_p_values(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    described = profile.describe_by_class(lines, STATUS_ROLES)
+    distances = distance.ks_normal(distance.class_counts(lines, STATUS_ROLES), described, STATUS_ROLES, "own")
+    return rounded(distances.drop("ks_statistic"), "p_value")
+
+
 def report_sql() -> str:
     """Describe statistics of both classes, distances from a normal and between the classes."""
     functions = {"count": "count", "mean": "avg", "stddev": "stddev_samp", "min": "min", "max": "max"}
@@ -319,6 +335,16 @@ def ranks(spark, sf_dir):
     return category_ranks(table(spark, sf_dir, "part"), ("p_type", "p_brand"))
 
 
+@query(
+    "category_ranks_wide",
+    "SELECT 'c_name' AS feature, c_name AS value, CAST(count(*) AS BIGINT) AS n,"
+    " CAST(row_number() OVER (ORDER BY count(*) DESC, c_name) - 1 AS DOUBLE) AS idx FROM customer GROUP BY c_name",
+)
+def ranks_wide(spark, sf_dir):
+    """A category for every row or nearly so: ranked over all tasks."""
+    return category_ranks(table(spark, sf_dir, "customer"), ("c_name",))
+
+
 @query(
     "column_ranges",
     union_all(f"SELECT '{c}' AS feature, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in LINE_NUMERIC),

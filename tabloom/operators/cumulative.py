@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 MIN_BUCKETS = 16
 MAX_BUCKETS = 4096
@@ -72,7 +72,8 @@ def cumulative_weights(df: DataFrame, series: Sequence[Series], buckets: int | N
 
     Returns one row per series and distinct non-null value: ``series``, ``value`` and, for each
     weight ``w``, its sum at that value ``w``, the running sum up to and including it ``cum_w``
-    and the grand total ``total_w``. NaN counts as the largest value.
+    and the grand total ``total_w``. NaN counts as the largest value. ``value`` is a double; long
+    and decimal values that are one double but differ keep a row each, in their own order.
     """
     weights = list(series[0].weights)
     if any(list(s.weights) != weights for s in series):
@@ -83,7 +84,13 @@ def cumulative_weights(df: DataFrame, series: Sequence[Series], buckets: int | N
         return F.col(value) if isinstance(value, str) else value
 
     count = range(len(series))
+    kinds = [f.dataType for f in df.select(*[as_column(s.value).alias(f"value_{i}") for i, s in enumerate(series)]).schema.fields]
+    own = [isinstance(kind, (T.LongType, T.DecimalType)) for kind in kinds]
+    # What tells values apart that are equal as doubles; only where a series can hold such values.
+    tie = ["tie"] if any(own) else []
+    ties = [as_column(s.value).try_cast("decimal(38,18)") if o else F.lit(None).cast("decimal(38,18)") for s, o in zip(series, own, strict=True)]
     prepared = df.select(
+        *[t.alias(f"tie_{i}") for i, t in enumerate(ties) if tie],
         # Adding 0.0 turns -0.0 into 0.0, so both fall into one bucket.
         *[(as_column(s.value).cast("double") + F.lit(0.0)).alias(f"value_{i}") for i, s in enumerate(series)],
         *[w.cast("bigint").alias(f"{name}_{i}") for i, s in enumerate(series) for name, w in s.weights.items()],
@@ -100,6 +107,7 @@ def cumulative_weights(df: DataFrame, series: Sequence[Series], buckets: int | N
             F.lit(s.name).alias("series"),
             F.col(f"bucket_{i}").cast("int").alias("bucket"),
             F.col(f"value_{i}").alias("value"),
+            *[F.col(f"tie_{i}").alias(t) for t in tie],
             *[F.col(f"{name}_{i}").alias(name) for name in weights],
         )
         for i, s in enumerate(series)
@@ -109,7 +117,7 @@ def cumulative_weights(df: DataFrame, series: Sequence[Series], buckets: int | N
     # below the same plan, so its shuffle is run once and reused.
     counts = (
         stacked.where(F.col("value").isNotNull() & F.col("bucket").isNotNull())
-        .groupBy("series", "bucket", "value")
+        .groupBy("series", "bucket", "value", *tie)
         .agg(*[F.sum(name).alias(name) for name in weights])
     )
 
@@ -127,7 +135,7 @@ def cumulative_weights(df: DataFrame, series: Sequence[Series], buckets: int | N
         )
     )
 
-    within = Window.partitionBy("series", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("series", "bucket").orderBy("value", *tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = counts.select("*", *[F.sum(name).over(within).alias(f"run_{name}") for name in weights])
     if (buckets + 1) * len(series) <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)

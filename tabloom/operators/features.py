@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.roles import Roles
+from tabloom.sources.shared import stored
 
 LABEL_COLUMN = "label"
 NUMERIC_VECTOR = "numericalfeatures"
@@ -165,17 +166,13 @@ def stage_table(model: PipelineModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "position int, stage string, uid string, inputs string, outputs string")
 
 
-def category_ranks(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> DataFrame:
+def category_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, value, n, idx)``: categories ranked by frequency, ties by value, from 0.
 
-    The ranking a string indexer applies, as a table. Only the categories are ranked, and their
-    number is checked first, so no window partition exceeds ``max_levels`` rows by more than the
-    error of an approximate count.
+    The ranking a string indexer applies, as a table, for any number of categories: they are sorted
+    into ranges, ranked inside each range, and shifted by the sizes of the ranges before it. The
+    ranges are stored, so that a lost executor cannot draw them anew.
     """
-    checks = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = {c: checks[c] for c in columns if checks[c] > max_levels}
-    if wide:
-        raise ValueError(f"more than {max_levels} categories: {wide}")
     counts = (
         df.select(*[F.col(c).cast("string").alias(c) for c in columns])
         .unpivot([], list(columns), "feature", "value")
@@ -183,8 +180,16 @@ def category_ranks(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    order = Window.partitionBy("feature").orderBy(F.desc("n"), F.asc("value"))
-    return counts.withColumn("idx", (F.row_number().over(order) - 1).cast("double"))
+    order = (F.desc("n"), F.asc("value"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_counts = counts.repartitionByRange(ranges, F.asc("feature"), *order)
+    ranged = stored(sorted_counts.withColumn("range", F.spark_partition_id()), "category-counts")
+    before = Window.partitionBy("feature").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # At most one row per range and column.
+    sizes = ranged.groupBy("feature", "range").agg(F.count(F.lit(1)).alias("size"))
+    shifts = sizes.select("feature", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("shift"))
+    within = ranged.withColumn("place", F.row_number().over(Window.partitionBy("feature", "range").orderBy(*order)) - 1)
+    return within.join(shifts, ["feature", "range"]).select("feature", "value", "n", (F.col("place") + F.col("shift")).cast("double").alias("idx"))
 
 
 def vector_entries(vector: str, size: int, prefix: str) -> list[Column]:

@@ -24,7 +24,8 @@ def read_csv(
     """CSV with a header line, read with a declared schema.
 
     ``check_header`` makes a header that disagrees with the schema an error instead of shifting
-    values into the wrong columns. ``corrupt_column`` keeps the text of lines that do not fit.
+    values into the wrong columns; without it the header is skipped and columns are taken by
+    position, whatever the file calls them. ``corrupt_column`` keeps the text of lines that do not fit.
     """
     reader = spark.read.option("header", True).option("sep", separator).option("mode", mode).option("enforceSchema", not check_header)
     if corrupt_column:

@@ -120,8 +120,16 @@ def test_too_many_categories_are_refused(spark):
     df = spark.range(500).select(F.lit("n").alias("y"), F.col("id").cast("double").alias("x"), F.col("id").cast("string").alias("k"))
     with pytest.raises(ValueError, match="categories"):
         fit_features(df, roles_for("k"), max_levels=100)
-    with pytest.raises(ValueError, match="categories"):
-        category_ranks(df, ["k"], max_levels=100)
+
+
+def test_any_number_of_categories_is_ranked(spark):
+    df = spark.range(30_000).select(F.concat(F.lit("v"), F.format_string("%05d", F.col("id"))).alias("k"), F.lit("one").alias("j"))
+    df = df.union(spark.createDataFrame([("v00777", None)] * 2, "k string, j string"))
+    ranks = category_ranks(df, ["k", "j"])
+    found = [(r["value"], r["n"], r["idx"]) for r in ranks.where("feature = 'k'").orderBy("idx").collect()]
+    names = ["v00777"] + [f"v{i:05d}" for i in range(30_000) if i != 777]
+    assert found == [(v, 3 if i == 0 else 1, float(i)) for i, v in enumerate(names)]
+    assert [tuple(r) for r in ranks.where("feature = 'j'").select("value", "n", "idx").collect()] == [("one", 30_000, 0.0)]
 
 
 def test_empty_column_is_reported(spark):

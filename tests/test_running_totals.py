@@ -135,3 +135,18 @@ def test_report_holds_every_statistic(spark):
     rows = {r["statistic"]: r for r in distance.numeric_report(df, ROLES).collect()}
     assert set(rows) == {"count", "mean", "stddev", "min", "max", "ks_normal", "ks_two_sample"}
     assert (rows["count"]["class_0"], rows["count"]["class_1"]) == (40.0, 20.0)
+
+
+def test_longs_beyond_double_precision_stay_apart(spark):
+    top = 2**53
+    rows = [(top, "no"), (top + 1, "yes"), (top + 1, "yes"), (top + 2, "no"), (2**63 - 1, "yes"), (-(2**63), "no")]
+    counts = distance.class_counts(spark.createDataFrame(rows, "x long, y string"), ROLES)
+    found = sorted((r["cum_n0"], r["cum_n1"], r["n0"], r["n1"]) for r in counts.collect())
+    assert found == [(1, 0, 1, 0), (2, 0, 1, 0), (2, 2, 0, 2), (3, 2, 1, 0), (3, 3, 0, 1)]
+
+
+def test_offsets_that_are_joined_give_the_same(spark, monkeypatch):
+    df = frame(spark, [(float(i * 7 % 101), "yes" if i % 3 else "no") for i in range(1000)])
+    wanted = computed(df)
+    monkeypatch.setattr("tabloom.operators.cumulative.BROADCAST_ROWS", 0)
+    assert computed(df) == wanted

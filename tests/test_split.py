@@ -56,3 +56,11 @@ def test_large_and_negative_keys(spark):
 def test_unknown_method(keyed):
     with pytest.raises(ValueError):
         split(keyed, ["k"], method="other")
+
+
+@pytest.mark.parametrize("percent", [5, 95])
+def test_arithmetic_folds_do_not_follow_the_split(keyed, percent):
+    side = split(keyed, ["k"], percent, method="arithmetic")[0 if percent == 5 else 1]
+    sizes = {r["fold"]: r["count"] for r in add_fold(side, ["k"], 10, method="arithmetic").groupBy("fold").count().collect()}
+    assert set(sizes) == set(range(10))
+    assert max(sizes.values()) / min(sizes.values()) < 2

@@ -146,3 +146,11 @@ def test_cluster_without_shared_folder_is_refused():
     )
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session)
+
+
+def test_another_header_by_position(spark, tmp_path):
+    path = written(tmp_path, "emp.var.rate,contact\n1.5,x\n2.5,y\n")
+    with pytest.raises(Exception):
+        read_csv(spark, path, SCHEMA).collect()
+    found = read_csv(spark, path, SCHEMA, check_header=False)
+    assert found.columns == SCHEMA.names and [r[1] for r in found.collect()] == ["x", "y"]
