@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tabloom.llm.common import mapped, nonempty, remainder
 from tabloom.llm.hashing import BASE, code_points
 from tabloom.llm.quality import pieces
+from tabloom.llm.sampling import MARGIN, hash_share
 
 #: The family of each language code; a code that is missing here is its own family.
 FAMILIES = {
@@ -164,16 +165,18 @@ def predict(text: str, model: Model, settings: Settings) -> tuple[str, float]:
 
 def language_sample(documents: DataFrame, settings: Settings) -> list[tuple[str, str]]:
     """For each language the ``rows_per_language`` learnable documents with the smallest hash of
-    their id (a bounded sample). Ranking is done on ids within hash buckets first, so a language of
-    any share is spread over tasks; texts are read for the chosen ids only."""
+    their id (a bounded sample), of several texts of an id the smallest. Ids are counted first, and
+    only those in the lowest share of hashes are ranked; texts are read for the chosen ids only."""
     known = documents.where((remainder("doc_id", 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("_h")).withColumn("_bucket", F.spark_partition_id())
-    order = [F.col("_h"), F.col("doc_id")]
-    first = ids.withColumn("_n", F.row_number().over(Window.partitionBy("lang", "_bucket").orderBy(*order))).where(F.col("_n") <= settings.rows_per_language)
-    chosen = first.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_n") <= settings.rows_per_language)
-    chosen = chosen.select("doc_id").distinct()
-    found = known.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
-    return [(r[1], r[2]) for r in sorted(found.collect(), key=lambda r: (r[0], r[2], r[1]))]
+    ids = known.select("doc_id", "lang").distinct()
+    # One row per language, as in the model itself.
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("_ids"))
+    low = ids.join(F.broadcast(sizes), "lang").where(hash_share("doc_id") * F.col("_ids") <= MARGIN * (settings.rows_per_language + 25))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = low.withColumn("_n", place).where(F.col("_n") <= settings.rows_per_language).select("doc_id", "lang")
+    found = known.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"])
+    found = found.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    return [(r["text"], r["lang"]) for r in sorted(found.collect(), key=lambda r: (r["doc_id"], r["lang"]))]
 
 
 def languages(documents: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:

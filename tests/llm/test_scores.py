@@ -7,7 +7,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tabloom.llm import language, queries, quality, toxicity
+from tabloom.llm import language, queries, quality, sampling, toxicity
+from tabloom.llm.common import remainder
 
 ODD = "doc_id long, text string, lang string, source string, n_chars long, score double, held_out string"
 ROWS = [(1, None, None, None, None, 1.0, "x"), (None, "idiot", "en", "s", 5, None, None), (2, "", "en", "s", 0, 2.0, "y"),
@@ -93,3 +94,18 @@ def test_families_are_asked_first():
     assert model.families == {"germanic": ["de", "en"], "romance": ["fr"]}
     assert model.duels == [("germanic", "romance", True), ("de", "en", False)]
     assert language.predict("der die und das", model, language.Settings())[0] == "de"
+
+
+def test_samples_are_the_smallest_hashes_and_bounded(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.lit("de").alias("lang"))
+    hot = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("z"), "id").alias("text"), F.lit("de").alias("lang"))
+    docs, labels = docs.union(hot), spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    wanted = [r[0] for r in labels.orderBy(F.xxhash64("doc_id")).limit(100).collect()]
+    found = sampling.labelled_rows(docs, labels, "quality", F.lit(True), 100).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(wanted)
+    learnable = labels.where(remainder("doc_id", 5) != 0)
+    wanted = [f"t{r[0]}" for r in learnable.orderBy(F.xxhash64("doc_id")).limit(50).collect()]
+    found = language.language_sample(docs, language.Settings(rows_per_language=50))
+    assert sorted(t for t, _ in found) == sorted(wanted)
+    everything = language.language_sample(docs, language.Settings(rows_per_language=100_000))
+    assert len(everything) == learnable.count()
