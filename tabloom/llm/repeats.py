@@ -2,9 +2,10 @@
 
 Every window of ``length`` bytes is named by its smallest gram hash (its anchor); equal windows
 have equal anchors, so a window can repeat only where its anchor does. Anchors are counted over all
-distinct texts; stretches of windows under a repeated anchor are dealt to shards by anchor, equal
-stretches once; every shard sorts the suffixes of its stretches by external induced sorting with
-common-prefix values, and windows that share ``length`` bytes with a neighbour are repeats.
+distinct texts; stretches of windows under a repeated anchor are compared by digest, and where some
+stretch of an anchor occurs once, all of that anchor are dealt to shards by anchor, equal ones once;
+every shard sorts the suffixes of its stretches by external induced sorting with common-prefix
+values, and windows that share ``length`` bytes with a neighbour are repeats.
 """
 
 from __future__ import annotations
@@ -153,21 +154,39 @@ def repeated_windows(documents: DataFrame, length: int, gram: int) -> tuple[Data
                 names, starts, stops, _ = stretches(data, length, gram)
                 raw = data.tobytes()
                 for k in np.flatnonzero(np.isin(names.view(np.int64), wanted)):
-                    piece = raw[starts[k] : stops[k] + length - 1]
-                    out.append((int(names[k].view(np.int64)), key, int(starts[k]), int(stops[k]), piece, hashlib.md5(piece).digest()))
+                    name = hashlib.md5(raw[starts[k] : stops[k] + length - 1]).digest()
+                    out.append((int(names[k].view(np.int64)), key, int(starts[k]), int(stops[k]), name))
                 if len(out) > 20_000:
-                    yield pd.DataFrame(out, columns=["anchor", "key", "start", "stop", "piece", "name"])
+                    yield pd.DataFrame(out, columns=["anchor", "key", "start", "stop", "name"])
                     out = []
-            yield pd.DataFrame(out, columns=["anchor", "key", "start", "stop", "piece", "name"])
-
-    pieces = stored(mapped(texts, cut, "anchor long, key long, start long, stop long, piece binary, name binary"), "pieces", "zstd")
-    place = F.struct("key", "start")
-    distinct = pieces.groupBy("anchor", "name").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.first("piece").alias("piece"))
-    distinct = stored(distinct.select("anchor", "name", "low.key", "low.start", (F.col("low") == F.col("high")).alias("once"), "piece"), "distinct", "zstd")
-    size = distinct.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
-    shards = distinct.repartition(max(partitions(documents.sparkSession), size // SHARD), "anchor").select("key", "start", "once", "piece")
+            yield pd.DataFrame(out, columns=["anchor", "key", "start", "stop", "name"])
+
+    def lifted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for key, text, *asked in zip(*(batch[c] for c in ("key", "text", "anchor", "start", "stop", "once")), strict=True):
+                raw = data_of(text).tobytes()
+                out.extend((anchor, key, start, once, raw[start : stop + length - 1]) for anchor, start, stop, once in zip(*asked, strict=True))
+                if len(out) > 20_000:
+                    yield pd.DataFrame(out, columns=["anchor", "key", "start", "once", "piece"])
+                    out = []
+            yield pd.DataFrame(out, columns=["anchor", "key", "start", "once", "piece"])
+
+    runs = stored(mapped(texts, cut, "anchor long, key long, start long, stop long, name binary"), "runs", "zstd")
+    place = F.struct("key", "start", "stop")
+    distinct = runs.groupBy("anchor", "name").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    distinct = stored(distinct.select("anchor", "name", "low.*", (F.col("low") == F.col("high")).alias("once")), "distinct", "zstd")
+    # Where all stretches of an anchor occur again as they are, all their windows repeat. Only beside a
+    # stretch that occurs once does the order of suffixes decide, and only there bytes are dealt out.
+    undecided = distinct.where("once").select("anchor").distinct()
+    undecided = stored(distinct.join(undecided, "anchor").select("anchor", "key", "start", "stop", "once"), "undecided", "zstd")
+    size = undecided.agg(F.coalesce(F.sum(F.col("stop") - F.col("start") + F.lit(length - 1)), F.lit(0))).first()[0]
+    asked = undecided.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "stop", "once")).alias("asked"))
+    asked = asked.select("key", "asked.anchor", "asked.start", "asked.stop", "asked.once")
+    pieces = mapped(texts.select("key", "text").join(asked, "key"), lifted, "anchor long, key long, start long, once boolean, piece binary")
+    shards = pieces.repartition(max(partitions(documents.sparkSession), size // SHARD), "anchor").select("key", "start", "once", "piece")
     within = mapped(shards, lambda batches: sorted_shard(batches, length), "key long, start long, stop long")
-    whole = pieces.select("anchor", "name", "key", "start", "stop").join(distinct.where("not once").select("anchor", "name"), ["anchor", "name"])
+    whole = runs.join(distinct.where("not once").select("anchor", "name"), ["anchor", "name"])
     return texts, within.unionByName(whole.select("key", "start", "stop"))
 
 
