@@ -60,9 +60,6 @@ def category_index(spark, sf_dir):
     return fitted_lines(spark, sf_dir).select(*LINE_KEYS, index_name("l_returnflag"), index_name("l_linenumber"))
 
 
-TYPE_LEVELS = 6
-
-
 @query(
     "part_type_index",
     f"WITH {rank_sql('p_type', 'kind', 'part')}, {rank_sql('p_brand', 'brand', 'part')}"

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from registry import query
+from registry import ORACLES, query
 from registry.inputs import LINE_NUMERIC, PLACES, STATUS_ROLES, TARGET_ROLES, TARGET_SQL, lines_with_target, rounded, table
 from tabloom import Roles
 from tabloom.functions import normal
 from tabloom.operators import distance, profile
 from tabloom.operators.features import category_ranks, input_report
+from tabloom.plans import jobs
 
 
 def union_all(selects) -> str:
@@ -415,3 +416,33 @@ def histogram_non_finite(spark, sf_dir):
 def report(spark, sf_dir):
     # The category counts are approximate and have no exact counterpart in SQL.
     return input_report(lines_with_target(spark, sf_dir), TARGET_ROLES).drop("levels")
+
+
+@query(
+    "explore_tables",
+    f"""
+SELECT 'rows' AS report, NULL AS feature, NULL AS value, NULL AS label, CAST(n_rows AS DOUBLE) AS amount FROM ({ORACLES["row_count"]})
+UNION ALL
+SELECT 'crosstab', feature, value, label, CAST(n AS DOUBLE) FROM ({ORACLES["crosstab_lines"]})
+UNION ALL
+SELECT 'numeric', feature, statistic, unnest(['class_0', 'class_1']), unnest([class_0, class_1]) FROM ({ORACLES["numeric_report"]})
+UNION ALL
+SELECT 'histogram', feature, CAST(bin AS VARCHAR), label, CAST(n AS DOUBLE) FROM ({ORACLES["histogram"]})
+""",
+)
+def explore_tables(spark, sf_dir):
+    """The exploration job's tables with defined values, one under the other: all but schema and sample."""
+    tables = jobs.explore(table(spark, sf_dir, "lineitem"), STATUS_ROLES, bins=BINS)
+    numeric = rounded(tables["numeric"], "class_0", "class_1").unpivot(["feature", "statistic"], ["class_0", "class_1"], "label", "amount")
+    none = F.lit(None).cast("string")
+    parts = {
+        "rows": tables["rows"].select(none.alias("feature"), none.alias("value"), none.alias("label"), F.col("n_rows").alias("amount")),
+        "crosstab": tables["crosstab"].select("feature", "value", "label", F.col("n").alias("amount")),
+        "numeric": numeric.withColumnRenamed("statistic", "value"),
+        "histogram": tables["histogram"].select("feature", F.col("bin").cast("string").alias("value"), "label", F.col("n").alias("amount")),
+    }
+    named = [part.select(F.lit(name).alias("report"), "feature", "value", "label", F.col("amount").cast("double")) for name, part in parts.items()]
+    result = named[0]
+    for other in named[1:]:
+        result = result.unionByName(other)
+    return result
