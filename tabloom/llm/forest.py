@@ -63,7 +63,7 @@ def signature(found: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np
 
 
 def sketches(documents: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id``, the set's key (null without words), tree prefixes as hashes, short signature."""
+    """``doc_id``, the text's hash, the set's key (null without words), tree prefixes as hashes, short signature."""
     lengths = prefix_lengths(settings)
     rng = np.random.default_rng(settings.seed)
     count = settings.trees * settings.depth
@@ -88,10 +88,10 @@ def sketches(documents: DataFrame, settings: Settings) -> DataFrame:
                         h = h * BASE + value
                     prefix.append(h)
                 prefixes.append(mixed(np.concatenate(prefix)).view(np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "set_key": keys, "prefixes": prefixes, "short": short})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "set_key": keys, "prefixes": prefixes, "short": short})
 
-    rows = documents.select("doc_id", "text")
-    return mapped(rows, run, "doc_id long, set_key binary, prefixes array<long>, short binary")
+    rows = documents.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    return mapped(rows, run, "doc_id long, mark long, set_key binary, prefixes array<long>, short binary")
 
 
 def led(members: list[tuple[int, bytes]], near: float, same: float) -> tuple[list[tuple[int, int]], list[int]]:
@@ -122,10 +122,10 @@ def candidate_edges(reps: DataFrame, settings: Settings) -> DataFrame:
     of a group are at most three such steps apart from each other's leaders (two within one salt),
     which the bounds below allow for, and a margin for the error of the estimate."""
     far = 1 - settings.threshold
-    rows = reps.select("rep", F.explode("prefixes").alias("key"))
+    rows = reps.select("node", F.explode("prefixes").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = rows.join(shared, "key").withColumn("salts", F.ceil(F.col("n") / settings.group))
-    members = members.withColumn("salt", F.pmod(F.xxhash64("rep"), "salts"))
+    members = members.withColumn("salt", F.pmod(F.xxhash64("node"), "salts"))
 
     def lead(bound: float):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,12 +147,12 @@ def candidate_edges(reps: DataFrame, settings: Settings) -> DataFrame:
         return pd.DataFrame(rows, columns=["a", "b", "key", "head"], dtype="Int64")
 
     def grouped(rows: DataFrame, bound: float) -> DataFrame:
-        full = rows.join(reps.select("rep", "short"), "rep").select("key", "salt", "salts", "rep", "short")
-        full = full.repartition("key", "salt").sortWithinPartitions("key", "salt", "short", "rep")
+        full = rows.join(reps.select("node", "short"), "node").select("key", "salt", "salts", "node", "short")
+        full = full.repartition("key", "salt").sortWithinPartitions("key", "salt", "short", "node")
         return mapped(full, lead(bound), "a long, b long, key long, head long")
 
-    first = stored(grouped(members.select("key", "salt", "salts", "rep"), 1 - 2 * far - 0.15), "edges")
-    heads = first.where("key is not null").select("key", F.lit(0).cast("long").alias("salt"), F.lit(1).cast("long").alias("salts"), F.col("head").alias("rep"))
+    first = stored(grouped(members.select("key", "salt", "salts", "node"), 1 - 2 * far - 0.15), "edges")
+    heads = first.where("key is not null").select("key", F.lit(0).cast("long").alias("salt"), F.lit(1).cast("long").alias("salts"), F.col("head").alias("node"))
     second = grouped(heads, max(0.05, 1 - 3 * far - 0.15))
     return first.where("a is not null").select("a", "b").union(second.where("a is not null").select("a", "b"))
 
@@ -205,45 +205,57 @@ def block_links(batches: Iterator[pd.DataFrame], settings: Settings) -> Iterator
     yield pd.DataFrame(out, columns=["node", "n", "peer"]).astype({"peer": "Int64"})
 
 
-def jaccard_join(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id``, ``n_links``, ``kept``.
-
-    ``n_links`` counts the other documents whose shingle sets have a Jaccard similarity of at least
-    the threshold with its own, copies included; ``class_id`` is the smallest id reachable over
-    links, itself included; ``kept`` marks the rows whose id is the class id. Texts of one to
-    ``words - 1`` words are one shingle; null and empty texts and texts without words link with
-    nothing. Rows with a null id link with nothing and have a null class. Rows that repeat an id
-    with the same text count as copies; all are kept. Other columns are left behind.
-    """
+def judged(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``jaccard_join`` with ``mark``, the 64-bit hash of their text: where an id has
+    several texts, each is judged by itself, and id and mark name it."""
     sketch = stored(sketches(documents, settings), "sketches")
     named = sketch.where("set_key is not null and doc_id is not null")
     classes = named.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min_by(F.struct("prefixes", "short"), "doc_id").alias("_s")
+        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min_by(F.struct("prefixes", "short", "mark"), "doc_id").alias("_s")
     )
-    classes = stored(classes.select("set_key", "rep", "copies", "_s.prefixes", "_s.short"), "classes")
+    # Classes are numbered: an id with several texts stands for several classes.
+    number = F.monotonically_increasing_id().alias("node")
+    classes = stored(classes.select(number, "set_key", "rep", "copies", "_s.prefixes", "_s.short", "_s.mark"), "classes")
     candidates = components(candidate_edges(classes, settings))
-    texts = documents.select(F.col("doc_id").alias("node"), "text").where("node is not null and text is not null")
-    members = candidates.join(classes.select(F.col("rep").alias("node"), "copies"), "node").join(texts, "node")
+    texts = documents.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("mark"), "text").where("rep is not null and text is not null")
+    members = candidates.join(classes.select("node", "rep", "mark", "copies"), "node").join(texts, ["rep", "mark"])
+    members = members.dropDuplicates(["rep", "mark"])  # repeated rows count in copies
     pairs = block_pairs(members.select("component", "node", "copies", "text"), ["component"], "node", settings.block)
     pairs = pairs.select("component", "i", "j", "own", "node", "copies", "text")
     pairs = pairs.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
     found = stored(mapped(pairs, lambda batches: block_links(batches, settings), "node long, n long, peer long"), "found")
-    linked = found.where("n > 0").groupBy(F.col("node").alias("rep")).agg(F.sum("n").alias("n"))
+    linked = found.where("n > 0").groupBy("node").agg(F.sum("n").alias("n"))
     grouped = components(found.where("peer is not null").select(F.col("node").alias("a"), F.col("peer").alias("b")))
+    lowest = grouped.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("low"))
     of_class = (
-        classes.select("set_key", "rep", "copies")
-        .join(linked, "rep", "left")
-        .join(grouped.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.select("node", "set_key", "rep", "copies")
+        .join(linked, "node", "left")
+        .join(grouped.join(lowest, "component").select("node", "low"), "node", "left")
         .select(
             "set_key",
-            F.coalesce("component", "rep").alias("class_id"),
+            F.coalesce("low", "rep").alias("class_id"),
             (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
         )
     )
-    rows = sketch.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    rows = sketch.select("doc_id", "mark", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     return rows.join(of_class, "set_key", "left").select(
         "doc_id",
+        "mark",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.coalesce("class_id", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def jaccard_join(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One row per document: ``doc_id``, ``class_id``, ``n_links``, ``kept``.
+
+    ``n_links`` counts the other documents whose shingle sets have a Jaccard similarity of at least
+    the threshold with its own, copies included; ``class_id`` is the smallest id reachable over
+    links, itself included; ``kept`` marks the rows whose id is the class id. Texts of one to
+    ``words - 1`` words are one shingle; null and empty texts and texts without words link with
+    nothing. Rows with a null id link with nothing and have a null class. Rows that repeat an id
+    with the same text count as copies; all are kept. Different texts of one id are judged each by
+    itself. Other columns are left behind.
+    """
+    return judged(documents, settings).select("doc_id", "class_id", "n_links", "kept")

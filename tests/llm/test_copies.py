@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tabloom.llm import common, contamination, forest, hashing, induced, repeats, vectors
 
 DOCS = "doc_id long, text string, class_id string, n_bytes string, kept string"
@@ -64,6 +65,19 @@ def test_odd_rows_and_empty_tables(spark):
     assert contamination.contained_items(odd, odd.selectExpr("doc_id as item_id", "text").where("false")).count() == 0
 
 
+def test_repeated_ids_are_judged_text_by_text(spark):
+    rng = random.Random(9)
+    base, other = words(rng, 80), words(rng, 80)
+    a, near, b = " ".join(base), " ".join(base[:-1] + ["new"]), " ".join(other)
+    docs = spark.createDataFrame([(1, a), (1, a), (2, near)], "doc_id long, text string")
+    found = [tuple(r) for r in forest.jaccard_join(docs).orderBy("doc_id").collect()]
+    assert found == [(1, 1, 2, True), (1, 1, 2, True), (2, 1, 2, False)]
+    docs = spark.createDataFrame([(0, near), (1, a), (1, b), (5, b + " more")], "doc_id long, text string")
+    found = Counter((r["doc_id"], r["class_id"], r["n_links"], r["kept"]) for r in forest.jaccard_join(docs).collect())
+    assert found == Counter([(0, 0, 1, True), (1, 0, 1, False), (1, 1, 1, True), (5, 1, 1, False)])
+    assert sorted(tuple(r) for r in corpus_pipeline.one_of_each(spark, docs, "").collect()) == [(0, near), (1, b)]
+
+
 def brute_repeats(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(b[k : k + length] for b in data for k in range(len(b) - length + 1))
