@@ -36,7 +36,7 @@ NO_LANGUAGE = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    bits: int = 13
+    bits: int = 15
     sizes: tuple[int, ...] = (1, 2, 3)
     rows_per_language: int = 500
     epochs: int = 12
@@ -71,30 +71,35 @@ def letters(text: str) -> np.ndarray:
     return np.concatenate([[32], cps[keep], [32]]).astype(np.uint32) if keep.any() and not blank.all() else cps[:0]
 
 
-def frequencies(text: str, settings: Settings) -> np.ndarray:
+def frequencies(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct table rows of a text and their relative frequencies."""
     counts = np.zeros(1 << settings.bits)
     for piece in pieces(letters(text)):
         counts += np.bincount(ngrams(piece, settings).astype(np.int64), minlength=len(counts))
-    return (counts / max(counts.sum(), 1)).astype(np.float32)
+    used = np.flatnonzero(counts)
+    return used.astype(np.int32), (counts[used] / max(counts.sum(), 1)).astype(np.float32)
 
 
-def svm(x: np.ndarray, y: np.ndarray, settings: Settings) -> tuple[np.ndarray, float]:
+def svm(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, settings: Settings) -> tuple[np.ndarray, float]:
     """A linear support vector machine for ``y`` in -1 and 1 by the averaged subgradient method on
-    the hinge loss, both classes weighing the same. Returns weights and offset."""
+    the hinge loss, both classes weighing the same. ``x`` holds table rows and frequencies of each
+    text, so what a duel needs besides them is a few vectors. Returns weights and offset."""
     rng = np.random.default_rng(settings.seed)
-    size = np.float32(np.sqrt(np.einsum("ij,ij->i", x, x)).mean() or 1.0)
-    x = x / size
+    size = float(np.mean([np.sqrt(share @ share) for _, share in x]) or 1.0)
     weight = np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-9), 0.5 / max((y < 0).mean(), 1e-9))
-    w, b, mean_w, mean_b, step, penalty = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0, 0, 1e-4
+    w, b, mean_w, mean_b, step, penalty = np.zeros(1 << settings.bits), 0.0, np.zeros(1 << settings.bits), 0.0, 0, 1e-4
     for _ in range(settings.epochs):
         order = rng.permutation(len(y))
         for at in range(0, len(y), 16):
             k = order[at : at + 16]
             step += 1
             rate = 1 / (1 + penalty * step)
-            wrong = k[y[k] * (x[k] @ w + b) < 1]
+            margin = np.array([x[i][1] @ w[x[i][0]] for i in k]) / size + b
+            wrong = k[y[k] * margin < 1]
             pull = (weight[wrong] * y[wrong]) / 16
-            w = (1 - rate * penalty) * w + rate * (pull @ x[wrong])
+            w *= 1 - rate * penalty
+            for i, p in zip(wrong, pull, strict=True):
+                w[x[i][0]] += (rate * p / size) * x[i][1]
             b += 0.1 * rate * pull.sum()
             mean_w += w
             mean_b += b
@@ -119,14 +124,14 @@ def fit(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Model:
         families.setdefault(FAMILY_OF.get(lang, lang), []).append(lang)
     duels = [(a, b, True) for a, b in combinations(sorted(families), 2)]
     duels += [(a, b, False) for members in families.values() for a, b in combinations(members, 2)]
-    x = np.array([frequencies(text, settings) for text, _ in rows], np.float32).reshape(len(rows), 1 << settings.bits)
+    x = [frequencies(text, settings) for text, _ in rows]
     lang = np.array([lang for _, lang in rows], object)
     family = np.array([FAMILY_OF.get(v, v) for v in lang], object)
     table, offset = np.zeros((1 << settings.bits, len(duels)), np.float32), np.zeros(len(duels))
     for k, (a, b, by_family) in enumerate(duels):
         group = family if by_family else lang
         use = np.flatnonzero((group == a) | (group == b))
-        table[:, k], offset[k] = svm(x[use], np.where(group[use] == a, 1.0, -1.0), settings)
+        table[:, k], offset[k] = svm([x[i] for i in use], np.where(group[use] == a, 1.0, -1.0), settings)
     return Model(families, duels, table, offset)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import pytest
@@ -96,6 +97,20 @@ def test_families_are_asked_first():
     assert language.predict("der die und das", model, language.Settings())[0] == "de"
 
 
+def test_language_features_keep_their_rows_and_stay_sparse():
+    settings = language.Settings()
+    assert settings.bits == 15
+    used, share = language.frequencies("der die und das", settings)
+    assert len(used) == len(share) < 60 and abs(share.sum() - 1) < 1e-5
+    rows = [(f"{chr(97 + k)}{chr(97 + n)} wort", f"l{k:02}") for k in range(12) for n in range(25)] * 8
+    tracemalloc.start()
+    model = language.fit(rows, language.Settings(epochs=1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # As a dense matrix the frequencies alone would take 4 << 15 bytes for each of 2400 texts.
+    assert peak - model.table.nbytes < len(rows) * (4 << 15) / 10
+
+
 def test_samples_are_the_smallest_hashes_and_bounded(spark):
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"), F.lit("de").alias("lang"))
     hot = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("z"), "id").alias("text"), F.lit("de").alias("lang"))
