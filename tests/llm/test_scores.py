@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import tracemalloc
 import zlib
 
@@ -73,6 +74,25 @@ def test_empty_tables(spark, tables):
     assert quality.quality_scores(tables("documents"), labels.where("false")).where(F.col("score") == 0.5).count() == 1000
 
 
+def test_repeated_phrases_and_rare_words_are_learned(spark):
+    rng = random.Random(4)
+
+    def some(n):
+        return " ".join("".join(rng.choices("abcdeghkmnrstu", k=5)) for _ in range(n))
+
+    toxic = [f"{some(6)} you zwurbel thing {some(6)}" for _ in range(600)] + [f"{some(6)} zwurbel {some(6)}" for _ in range(400)]
+    toxic += [f"{some(6)} frobnitz {some(6)}" for _ in range(15)]
+    clean = [f"{some(5)} you {some(3)} thing {some(5)}" for _ in range(3000)]
+    clean += [f"{some(5)} shared words here {some(5)}" for _ in range(200)]
+    sample = spark.createDataFrame([(t, 1) for t in toxic] + [(t, 0) for t in clean], "text string, label int")
+    weights = toxicity.learn_weights(sample, toxicity.Settings())
+    assert any(toxicity.folded("zwurbel").strip().startswith(w) for w in weights)
+    assert any(toxicity.folded("frobnitz").strip().startswith(w) for w in weights)
+    lexicon = toxicity.Lexicon(weights, [])
+    assert sum(bool(toxicity.matches(toxicity.folded(t), lexicon)) for t in toxic) == len(toxic)
+    assert sum(bool(toxicity.matches(toxicity.folded(t), lexicon)) for t in clean) < 10
+
+
 def test_folding():
     assert toxicity.folded("You 1d10t, l0ser! $tupid раthetіc ｔｒａｓｈ lo\u200bser café 105") == " you idiot ioser stupid pathetic trash ioser cafe 105 "
     assert toxicity.folded("").split() == []
