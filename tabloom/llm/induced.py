@@ -4,8 +4,9 @@ Suffixes are sorted from the left-most S-type (LMS) ones, whose order comes from
 the string of their names. Two sweeps then induce the order of all others: a swept suffix yields
 the one that starts a sign earlier, which enters a priority queue under its first sign. A queue
 holds tuples (position, common prefix with the entry before it) as arrays in order of arrival, one
-run per sign, and moves them to disk beyond a number of items, so memory is bounded by that number
-and not by the text. Tuples are handled in batches, all of one sign and round at a time.
+run per sign, and moves them to disk beyond a number of items. The positions, names and common prefixes
+of LMS suffixes are arrays in memory, so memory grows with the text, which callers keep bounded.
+Tuples are handled in batches, all of one sign and round at a time.
 """
 
 from __future__ import annotations
@@ -336,7 +337,8 @@ def repeated(text: np.ndarray, length: int, memory: int = 1 << 23, folder: str |
     """Whether the ``length`` signs from each position also start at another position.
 
     ``text`` ends with a 0 that occurs nowhere else. Its types and this answer take a byte a sign,
-    the queues at most ``memory`` tuples each; the rest is on disk in ``folder``."""
+    the queues at most ``memory`` tuples each, beyond which they are on disk in ``folder``; LMS
+    suffixes, at most half of all, take about a dozen eight-byte values each in memory."""
     out = np.zeros(len(text), bool)
     if len(text) < 2:
         return out

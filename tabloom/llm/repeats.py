@@ -3,7 +3,9 @@
 Every window of ``length`` bytes is named by its smallest gram hash (its anchor); equal windows
 have equal anchors, so a window can repeat only where its anchor does. Anchors are counted over all
 distinct texts; stretches of windows under a repeated anchor are compared by digest, and where some
-stretch of an anchor occurs once, all of that anchor are dealt to shards by anchor, equal ones once;
+stretch of an anchor occurs once, all of that anchor are dealt to shards by anchor, equal ones
+once. Stretches of an anchor with too many bytes are taken apart by the anchor's offset in the
+window, which equal windows share, and by the bytes that all windows of a range of offsets share;
 every shard sorts the suffixes of its stretches by external induced sorting with common-prefix
 values, and windows that share ``length`` bytes with a neighbour are repeats.
 """
@@ -14,6 +16,8 @@ import hashlib
 import os
 import tempfile
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -30,8 +34,11 @@ LENGTH = 200
 GRAM = 40
 #: Bytes of text that are hashed at once.
 PIECE = 1 << 20
-#: Bytes of stretches in a shard, about; one anchor's stretches may exceed it and are sorted on disk.
+#: Bytes of stretches in a shard, about.
 SHARD = 8 << 20
+#: Bytes of stretches that are dealt out together at most; an anchor with more is taken apart.
+GROUP = 1 << 20
+PARTS = "group binary, name binary, low int, high int, spot int, key long, start long, once boolean, piece binary"
 
 
 def sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
@@ -76,6 +83,85 @@ def data_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
+def grams_of(data: np.ndarray, gram: int) -> np.ndarray:
+    """The hash of every gram."""
+    power, inverse = powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
+    return mixed((total[gram:] - total[:-gram]) * inverse[: len(data) - gram + 1])
+
+
+def taken_apart(anchor: bytes, low: int, high: int, spot: int, key: int, start: int, once: bool, piece: bytes, length: int) -> Iterator[tuple]:
+    """``PARTS`` of a piece, by quarters of its range of offsets. The anchor is at ``spot``, so the
+    window from ``s`` has it at offset ``spot - s``. Equal windows get the same group: anchor, range
+    of offsets, and the bytes that every window with such an offset holds."""
+    width = -(-(high - low) // 4)
+    for a in range(low, high, width):
+        b = min(high, a + width)
+        first, last = max(0, spot - b + 1), min(len(piece) - length, spot - a)
+        if first <= last:
+            part = piece[first : last + length]
+            shared = anchor + a.to_bytes(4, "big") + b.to_bytes(4, "big") + piece[spot - a : spot - b + 1 + length]
+            yield hashlib.md5(shared).digest(), hashlib.md5(part).digest(), a, b, spot - first, key, start + first, once, part
+
+
+def framed(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    while out := list(islice(rows, 5_000)):
+        yield pd.DataFrame(out, columns=columns)
+
+
+def bounded(pieces: DataFrame, length: int, gram: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Stretches (``anchor``, ``key``, ``start``, ``once``, ``piece``) as parts in groups of at most
+    ``limit`` bytes (``group``, ``key``, ``start``, ``once``, ``piece``), and the windows among them
+    that repeat as parts of larger groups (``key``, ``start``, ``stop``).
+
+    Groups above the limit are taken apart until they are within it; at a single offset all
+    parts of a group are equal and one stands for them, so this ends after four rounds."""
+    columns = [c.split()[0] for c in PARTS.split(", ")]
+
+    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for anchor, key, start, once, piece in zip(*(batch[c] for c in ("anchor", "key", "start", "once", "piece")), strict=True):
+                    piece, name = bytes(piece), int(anchor).to_bytes(8, "big", signed=True)
+                    spots = np.flatnonzero(grams_of(np.frombuffer(piece, np.uint8), gram).view(np.int64) == anchor).tolist()
+                    for before, spot in zip([-1, *spots[:-1]], spots, strict=True):
+                        first, last = max(before + 1, spot - (length - gram)), min(len(piece) - length, spot)
+                        if first <= last:
+                            yield from taken_apart(name, 0, length - gram + 1, spot - first, key, start + first, once, piece[first : last + length], length)
+
+        return framed(rows(), columns)
+
+    def further(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for group, _, low, high, spot, key, start, once, piece in zip(*(batch[c] for c in columns), strict=True):
+                    yield from taken_apart(bytes(group), low, high, spot, key, start, once, bytes(piece), length)
+
+        return framed(rows(), columns)
+
+    parts, place = stored(mapped(pieces, begin, PARTS), "parts", "zstd"), F.struct("key", "start")
+    small, windows = [], []
+    while True:
+        names = parts.groupBy("group", "name").agg(
+            F.min_by(F.struct("low", "high", "spot", "key", "start", "once", "piece"), place).alias("r"), F.min(place).alias("a"), F.max(place).alias("b")
+        )
+        same = F.col("a") == F.col("b")
+        names = stored(names.select("group", "name", "r.low", "r.high", "r.spot", "r.key", "r.start", (F.col("r.once") & same).alias("once"), "r.piece", same.alias("same")), "names", "zstd")
+        again = parts.where("once").select("group", "name", "key", "start", (F.octet_length("piece") - length + 1 + F.col("start")).alias("stop"))
+        windows.append(again.join(names.where("not same").select("group", "name"), ["group", "name"]).select("key", "start", "stop"))
+        sizes = names.groupBy("group").agg(F.sum(F.octet_length("piece")).alias("bytes"), F.count("*").alias("n"), F.max("high").alias("high"), F.min("low").alias("low"))
+        # A window repeats within its group only, so a part that is alone there needs no comparison.
+        sizes = stored(sizes.where("n > 1"), "sizes")
+        small.append(names.join(sizes.where(F.col("bytes") <= limit).select("group"), "group").select("group", "key", "start", "once", "piece"))
+        large = sizes.where(F.col("bytes") > limit).select("group")
+        if large.isEmpty():
+            break
+        # Few: each has more bytes than the limit.
+        parts = stored(mapped(names.join(F.broadcast(large), "group").select(*columns), further, PARTS), "parts", "zstd")
+    return reduce(DataFrame.unionByName, small), reduce(DataFrame.unionByName, windows)
+
+
 def merged(ranges: list, length: int) -> np.ndarray:
     """Windows' ranges as maximal runs of covered bytes, an array of (start, stop)."""
     spans = np.array(sorted(ranges), np.int64).reshape(-1, 2)
@@ -120,7 +206,7 @@ def sorted_shard(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.Da
     ).astype({"start": "int64", "stop": "int64"})
 
 
-def repeated_windows(documents: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(documents: DataFrame, length: int, gram: int, limit: int = GROUP) -> tuple[DataFrame, DataFrame]:
     """Texts (``key``, ``text``) with windows under repeated anchors, and their repeated windows
     (``key``, ``start``, ``stop``) with respect to all distinct texts."""
     own = documents.where(F.octet_length("text") >= length).select("row", "key", "text")
@@ -181,16 +267,28 @@ def repeated_windows(documents: DataFrame, length: int, gram: int) -> tuple[Data
     undecided = distinct.where("once").select("anchor").distinct()
     undecided = stored(distinct.join(undecided, "anchor").select("anchor", "key", "start", "stop", "once"), "undecided", "zstd")
     size = undecided.agg(F.coalesce(F.sum(F.col("stop") - F.col("start") + F.lit(length - 1)), F.lit(0))).first()[0]
-    asked = undecided.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "stop", "once")).alias("asked"))
-    asked = asked.select("key", "asked.anchor", "asked.start", "asked.stop", "asked.once")
-    pieces = mapped(texts.select("key", "text").join(asked, "key"), lifted, "anchor long, key long, start long, once boolean, piece binary")
+    heavy = undecided.groupBy("anchor").agg(F.sum(F.col("stop") - F.col("start") + F.lit(length - 1)).alias("bytes"))
+    heavy = stored(heavy.where(F.col("bytes") > limit).select("anchor"), "heavy")
+
+    def bytes_of(wanted: DataFrame) -> DataFrame:
+        asked = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "start", "stop", "once")).alias("asked"))
+        asked = asked.select("key", "asked.anchor", "asked.start", "asked.stop", "asked.once")
+        return mapped(texts.select("key", "text").join(asked, "key"), lifted, "anchor long, key long, start long, once boolean, piece binary")
+
+    pieces, known = bytes_of(undecided), None
+    if not heavy.isEmpty():
+        # Few: each has more bytes than the limit.
+        groups, known = bounded(bytes_of(undecided.join(F.broadcast(heavy), "anchor")), length, gram, limit)
+        pieces = bytes_of(undecided.join(F.broadcast(heavy), "anchor", "left_anti"))
+        pieces = pieces.unionByName(groups.select(F.xxhash64("group").alias("anchor"), "key", "start", "once", "piece"))
     shards = pieces.repartition(max(partitions(documents.sparkSession), size // SHARD), "anchor").select("key", "start", "once", "piece")
     within = mapped(shards, lambda batches: sorted_shard(batches, length), "key long, start long, stop long")
+    within = within.unionByName(known) if known is not None else within
     whole = runs.join(distinct.where("not once").select("anchor", "name"), ["anchor", "name"])
     return texts, within.unionByName(whole.select("key", "start", "stop"))
 
 
-def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = GROUP) -> DataFrame:
     """Every row of ``documents`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and
     ``kept_text`` (null for a null text): each byte that a repeated string of ``length`` bytes
     covers is removed, every occurrence included.
@@ -206,7 +304,7 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM
     text = F.coalesce("text", F.lit(""))
     base = documents.withColumn("_raw", F.col("text")).withColumn("text", text).select("*", *reserved)
     plain = base.select(F.coalesce("doc_id", "_key").alias("row"), F.col("_key").alias("key"), "text")
-    texts, windows = repeated_windows(plain, length, gram)
+    texts, windows = repeated_windows(plain, length, gram, limit)
     ranges = windows.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

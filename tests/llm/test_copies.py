@@ -104,6 +104,26 @@ def test_repeats_equal_brute_force(spark):
         assert (r["kept_text"] is None) == (text is None)
 
 
+def test_a_hot_anchor_is_taken_apart(spark):
+    rng = random.Random(6)
+    passage = " ".join(words(rng, 60))
+    texts = [" ".join(words(rng, 30)) + passage + " ".join(words(rng, 30)) for _ in range(60)]
+    texts += [t[: 130 + k] + " ".join(words(rng, 40)) for k, t in enumerate(texts[:20])]
+    texts += [None, "ab" * 400, "x" * 900, passage[3:] + "x" * 500, passage + passage]
+    found = repeats.without_repeats(frame(spark, texts), limit=2000).orderBy("doc_id").collect()
+    got = [(r["n_bytes"] or 0, r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found]
+    assert got == list(brute_repeats(texts, 200))
+    rows = []
+    for key, text in enumerate(texts[:60]):
+        raw = text.encode()
+        for name, a, b in zip(*repeats.stretches(np.frombuffer(raw, np.uint8), 200, 40)[:3], strict=True):
+            rows.append((int(name.view(np.int64)), key, int(a), True, raw[a : b + 199]))
+    pieces = spark.createDataFrame(rows, "anchor long, key long, start long, once boolean, piece binary")
+    assert max(r[0] for r in pieces.groupBy("anchor").agg({"key": "count"}).select("count(key)").collect()) == 60
+    groups, _ = repeats.bounded(pieces, 200, 40, 2000)
+    assert max(r[0] for r in groups.selectExpr("group", "octet_length(piece) as n").groupBy("group").sum("n").select("sum(n)").collect()) <= 2000
+
+
 @pytest.mark.parametrize("memory", [1 << 20, 8])
 def test_induced_sorting_equals_counting(memory, tmp_path):
     rng = np.random.default_rng(1)
