@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import contamination, forest, language, licences, packing, quality, repeats, toxicity, urls, vectors
+from tabloom.llm import contamination, forest, language, licences, packing, quality, repeats, toxicity, trie, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op12_conversation_trie": op12_conversation_trie,
 }
 
 SHINGLES_SQL = r"""
@@ -140,9 +145,11 @@ FROM embeddings LEFT JOIN low ON low.a = vec_id LEFT JOIN degree ON degree.a = v
 WITH templates(template, licence, wording) AS (VALUES {LICENCE_ROWS}),
 lines AS (
   SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(text, '([.!?;:])\s+', '' || chr(10), 'g'), '[
-]+')) AS own,
+
+]+')) AS own,
          generate_subscripts(regexp_split_to_array(regexp_replace(text, '([.!?;:])\s+', '' || chr(10), 'g'), '[
-]+'), 1) - 1 AS part
+
+]+'), 1) - 1 AS part
   FROM documents
 ),
 words AS (
@@ -173,5 +180,37 @@ held AS (
   FROM s_documents d JOIN s_benchmark b USING (s) GROUP BY 1, 2
 )
 SELECT doc_id, item_id, k / n AS containment FROM held JOIN n_benchmark ON item_id = id WHERE k / n >= 0.8
+""",
+    "op12_conversation_trie": """
+WITH ordered AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+taken AS (
+  SELECT *, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+    lambda r, s: list_reduce(list_prepend(xor(r, s), range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
+  ), 4294967295) % 6 AS h
+  FROM ordered
+),
+rebuilt AS (
+  SELECT own.c, coalesce(base.turns[1:own.h], []) || own.turns[own.h + 1:] AS turns
+  FROM taken own LEFT JOIN ordered base ON base.c = own.c - own.c % 100
+),
+prefixes AS (SELECT c, d, turns[1:d] AS p, len(turns) = d AS ends FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n, (count(*) - 1) * coalesce(any_value(length(p[d].t)), 0) AS saved,
+         string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends) AS ids
+  FROM prefixes GROUP BY p, d
+),
+children AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+whole AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (p, d)),
+subtrees AS (
+  SELECT p[1:up] AS p, up AS d, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(d + 1)) AS up FROM whole) GROUP BY 1, 2
+)
+SELECT w.conv_id, w.d AS depth, above.conv_id AS parent_conv_id, w.n AS n_convs, w.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(w.ids, '')) AS ends_sha256
+FROM whole w JOIN subtrees USING (p, d) LEFT JOIN nodes above ON w.d > 0 AND above.d = w.d - 1 AND above.p = w.p[1:w.d - 1]
 """,
 }
