@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import contamination, forest, language, licences, packing, quality, repeats, toxicity, trie, urls, vectors
+from tabloom.llm import contamination, forest, language, licences, packing, quality, repeats, site_style, toxicity, trie, urls, vectors, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,10 +65,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_jaccard_join": op2_jaccard_join,
@@ -80,7 +88,9 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_html_extraction": op13_html_extraction,
 }
 
 SHINGLES_SQL = r"""
@@ -212,5 +222,20 @@ subtrees AS (
 SELECT w.conv_id, w.d AS depth, above.conv_id AS parent_conv_id, w.n AS n_convs, w.n_children, n_leaves,
        saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(w.ids, '')) AS ends_sha256
 FROM whole w JOIN subtrees USING (p, d) LEFT JOIN nodes above ON w.d > 0 AND above.d = w.d - 1 AND above.p = w.p[1:w.d - 1]
+""",
+    # The tables' pages have one plain article each; its blocks are paragraphs and a heading.
+    "op13_html_extraction": r"""
+WITH cut AS (
+  SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>') AS parts FROM pages
+),
+blocks AS (
+  SELECT page_id, url, list_transform(parts, lambda b: trim(regexp_replace(
+    regexp_replace(replace(replace(replace(regexp_replace(b, '<[^>]*>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'),
+    '\s+', ' ', 'g'))) AS bs
+  FROM cut
+)
+SELECT page_id, url, array_to_string(list_filter(bs, lambda b: b <> ''), chr(10)) AS text,
+       length(array_to_string(list_filter(bs, lambda b: b <> ''), chr(10))) AS n_chars
+FROM blocks
 """,
 }
