@@ -18,6 +18,7 @@ from tabloom.operators.features import (
     stage_table,
     vector_entries,
 )
+from tabloom.operators.wide_index import WideIndexer
 from tabloom.operators.split import FOLD_SEED_SHIFT, SPLIT_BUCKETS, add_fold, split
 
 KEYS_SQL = "l_orderkey, l_linenumber"
@@ -71,6 +72,18 @@ def part_type_index(spark, sf_dir):
     return fitted.transform(parts).select("p_partkey", index_name("p_type"), index_name("p_brand"))
 
 
+@query(
+    "category_index_wide",
+    f"WITH {rank_sql('c_name', 'name', 'customer')}, {rank_sql('c_nationkey', 'nation', 'customer')}"
+    " SELECT c_custkey, n.idx AS idx_c_name, k.idx AS idx_c_nationkey FROM customer JOIN name n ON c_name = n.v JOIN nation k ON c_nationkey = k.v",
+)
+def category_index_wide(spark, sf_dir):
+    """As many categories as rows beside a column of few: indexed by joins, no labels in memory."""
+    customers = table(spark, sf_dir, "customer")
+    indexer = WideIndexer(inputCols=["c_name", "c_nationkey"], outputCols=["idx_c_name", "idx_c_nationkey"])
+    return indexer.fit(customers).transform(customers).select("c_custkey", "idx_c_name", "idx_c_nationkey")
+
+
 @query(
     "one_hot",
     f"WITH {FLAG} SELECT {KEYS_SQL}, CAST(idx = 0 AS DOUBLE) AS hot_0, CAST(idx = 1 AS DOUBLE) AS hot_1"

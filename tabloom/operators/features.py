@@ -1,9 +1,9 @@
 """Role-driven feature pipeline: indexing, one-hot encoding, min-max scaling, assembly.
 
-Fitted stages are MLlib's own, so a fitted pipeline is an ordinary ``PipelineModel``. A string
-indexer keeps every category of a column in its model, on the driver and in each task. The
-number of categories is therefore counted before fitting, and a column above the limit is
-refused rather than truncated.
+A fitted pipeline is an ordinary ``PipelineModel`` of MLlib's own stages, but for one: a string
+indexer keeps every category of a column in its model, on the driver and in each task, so columns
+with many categories are indexed by a join instead (``wide_index``). The estimate of the number of
+categories chooses the way, never the result.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.storagelevel import StorageLevel
 
+from tabloom.operators.wide_index import WideIndexer, WideIndexerModel
 from tabloom.roles import Roles
 from tabloom.sources.shared import stored
 
@@ -24,6 +26,7 @@ NUMERIC_VECTOR = "numericalfeatures"
 SCALED_VECTOR = "scaledfeatures"
 FEATURES = "features"
 MAX_LEVELS = 10_000
+UNKNOWN = "rows with categories that the features were not fitted on, use handle_invalid='keep'"
 
 
 def index_name(column: str) -> str:
@@ -71,17 +74,13 @@ def input_report(df: DataFrame, roles: Roles) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def check_input(df: DataFrame, roles: Roles, max_levels: int = MAX_LEVELS) -> dict[str, int]:
-    """Raise on columns without any value or with too many categories; return the category counts."""
+def check_input(df: DataFrame, roles: Roles) -> dict[str, int]:
+    """Raise on columns without any value; return approximate numbers of categories."""
     report = input_report(df, roles).collect()
     empty = [r["column"] for r in report if r["rows"] > 0 and r["nulls"] == r["rows"]]
     if empty:
         raise ValueError(f"columns in which every value is null (wrong separator or type?): {empty}")
-    levels = {r["column"]: r["levels"] for r in report if r["levels"] is not None}
-    wide = {c: n for c, n in levels.items() if n > max_levels}
-    if wide:
-        raise ValueError(f"more than {max_levels} categories, raise max_levels or leave the column out: {wide}")
-    return levels
+    return {r["column"]: r["levels"] for r in report if r["levels"] is not None}
 
 
 def label_stage(roles: Roles, order: str = "roles"):
@@ -94,17 +93,22 @@ def label_stage(roles: Roles, order: str = "roles"):
     raise ValueError(f"order must be 'roles' or 'frequency', not {order!r}")
 
 
-def feature_stages(roles: Roles, handle_invalid: str = "error", label_order: str = "roles") -> list:
+def feature_stages(roles: Roles, handle_invalid: str = "error", label_order: str = "roles", wide: Sequence[str] = ()) -> list:
     """Unfitted stages: label index, category indexes, one-hot vectors, scaled numerics, features.
 
-    All categorical columns share one indexer and one encoder, so fitting them is a single pass.
+    All categorical columns share one indexer and one encoder, so fitting them is a single pass; the
+    columns in ``wide`` share an indexer that joins.
     """
     stages: list = [label_stage(roles, label_order)]
     parts: list[str] = []
     if roles.categorical:
         indexes = [index_name(c) for c in roles.categorical]
         vectors = [one_hot_name(c) for c in roles.categorical]
-        stages.append(StringIndexer(inputCols=list(roles.categorical), outputCols=indexes, handleInvalid=handle_invalid))
+        narrow = [c for c in roles.categorical if c not in wide]
+        if narrow:
+            stages.append(StringIndexer(inputCols=narrow, outputCols=[index_name(c) for c in narrow], handleInvalid=handle_invalid))
+        if wide:
+            stages.append(WideIndexer(inputCols=list(wide), outputCols=[index_name(c) for c in wide], handleInvalid=handle_invalid))
         stages.append(OneHotEncoder(inputCols=indexes, outputCols=vectors, handleInvalid="error"))
         parts += vectors
     if roles.numeric:
@@ -121,22 +125,36 @@ def fit_features(
     """Fit the pipeline on ``df``. ``handle_invalid="keep"`` gives unseen categories a level of their own.
 
     A categorical column with a single value carries nothing and cannot be one-hot encoded; it is
-    left out and reported in ``dropped``.
+    left out and reported in ``dropped``. Columns with more than about ``max_levels`` categories are
+    indexed by a join; their number has no limit, though a one-hot vector names each of its entries.
+    The role columns are read once and kept in the executors' cache while the stages are fitted.
     """
-    levels = check_input(df, roles, max_levels)
+    roles.require(df)
+    kept = df.select(*roles.columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit_stages(kept, roles, handle_invalid, label_order, max_levels)
+    finally:
+        kept.unpersist()
+
+
+def _fit_stages(df: DataFrame, roles: Roles, handle_invalid: str, label_order: str, max_levels: int) -> FittedFeatures:
+    levels = check_input(df, roles)
     dropped = tuple(c for c in roles.categorical if levels[c] < 2) if handle_invalid != "keep" else ()
     used = Roles(roles.label, roles.negative, roles.positive, roles.numeric, tuple(c for c in roles.categorical if c not in dropped))
     if not used.numeric and not used.categorical:
         raise ValueError("no usable feature column")
-    needed = df.select(*used.columns)
-    return FittedFeatures(Pipeline(stages=feature_stages(used, handle_invalid, label_order)).fit(needed), used, dropped)
+    wide = tuple(c for c in used.categorical if levels[c] > max_levels)
+    return FittedFeatures(Pipeline(stages=feature_stages(used, handle_invalid, label_order, wide)).fit(df), used, dropped)
 
 
 def check_known(fitted: FittedFeatures, df: DataFrame) -> None:
     """Raise if ``df`` has null or unknown categories, which would stop the scoring of its rows.
 
-    One aggregate over all categorical columns, for pipelines fitted with ``handle_invalid="error"``."""
+    One aggregate over all categorical columns that an indexer holds, and one join for each of the
+    others, for pipelines fitted with ``handle_invalid="error"``."""
     for stage in fitted.model.stages:
+        if isinstance(stage, WideIndexerModel) and stage.getHandleInvalid() == "error" and (found := stage.unknown(df)):
+            raise ValueError(f"{UNKNOWN}: {found}")
         if isinstance(stage, StringIndexerModel) and stage.isSet(stage.inputCols) and stage.getHandleInvalid() == "error":
             known = dict(zip(stage.getInputCols(), stage.labelsArray, strict=True))
             unknown = [
@@ -145,7 +163,7 @@ def check_known(fitted: FittedFeatures, df: DataFrame) -> None:
             ]
             found = {c: n for c, n in df.agg(*unknown).first().asDict().items() if n}
             if found:
-                raise ValueError(f"rows with categories that the features were not fitted on, use handle_invalid='keep': {found}")
+                raise ValueError(f"{UNKNOWN}: {found}")
 
 
 def stage_table(model: PipelineModel, spark) -> DataFrame:

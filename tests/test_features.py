@@ -1,12 +1,17 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabloom import Roles
-from tabloom.operators.features import category_ranks, check_input, feature_names, fit_features, input_report, stage_table
+from tabloom.operators import wide_index
+from tabloom.operators.features import category_ranks, check_input, check_known, feature_names, fit_features, input_report, stage_table
+from tabloom.operators.wide_index import WideIndexer
 from tabloom.presets import BANK_CONTACTS_ROLES, BANK_CONTACTS_SCHEMA
+from tabloom.sinks.fitted import save_pipeline
+from tabloom.sources.fitted import load_pipeline
 from tabloom.sources.tables import conform
 
 # Three contacts. Whole numbers stand where the schema wants doubles.
@@ -116,10 +121,64 @@ def test_scoring_without_a_label(spark):
     assert fit_features(df, roles_for("k")).transform(df.drop("y")).select("features").count() == 2
 
 
-def test_too_many_categories_are_refused(spark):
-    df = spark.range(500).select(F.lit("n").alias("y"), F.col("id").cast("double").alias("x"), F.col("id").cast("string").alias("k"))
-    with pytest.raises(ValueError, match="categories"):
-        fit_features(df, roles_for("k"), max_levels=100)
+def wide_rows(spark, n=4000):
+    """A column with one value in half of the rows, many rare ones, ties and none of them."""
+    rare = F.concat(F.lit("v"), (F.col("id") % 700).cast("string"))
+    return spark.range(n).select(
+        "id",
+        F.when(F.col("id") % 5 < 2, F.lit("n")).otherwise("p").alias("y"),
+        (F.col("id") % 13).cast("double").alias("x"),
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(rare).alias("k"),
+        (F.col("id") % 90).cast("int").alias("j"),
+    )
+
+
+def test_join_index_equals_string_indexer(spark):
+    df = wide_rows(spark)
+    names = {"inputCols": ["k", "j"], "outputCols": ["idx_k", "idx_j"]}
+    ours = WideIndexer(**names).fit(df).transform(df)
+    theirs = StringIndexer(**names).fit(df).transform(df)
+    assert ours.columns == theirs.columns
+    assert ours.exceptAll(theirs).count() == 0 and ours.count() == 4000
+
+
+def test_join_index_looks_up_frequent_values_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(wide_index, "HEAVY", 10)
+    df = wide_rows(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        indexed = WideIndexer(inputCols=["k"], outputCols=["idx_k"]).fit(df).transform(df)
+        plan = indexed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+    assert {r["idx_k"] for r in indexed.where("k = 'hot'").collect()} == {0.0}
+
+
+@pytest.mark.parametrize(("how", "wanted"), [("keep", [0.0, 1.0, 2.0, 2.0]), ("skip", [0.0, 1.0])])
+def test_join_index_of_unknown_values(spark, how, wanted):
+    model = WideIndexer(inputCols=["k"], outputCols=["i"], handleInvalid=how).fit(spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string"))
+    new = spark.createDataFrame([("b",), ("a",), ("zz",), (None,)], "k string")
+    assert sorted(r["i"] for r in model.transform(new).collect()) == wanted
+    assert model.unknown(new) == {"k": 2}
+    with pytest.raises(Exception, match="not fitted on"):
+        model.copy({model.handleInvalid: "error"}).transform(new).collect()
+
+
+def test_pipeline_with_a_join_index(spark, tmp_path):
+    """The same vectors as with all labels in memory; saved and loaded like any pipeline."""
+    df = wide_rows(spark)
+    roles = Roles("y", "n", "p", ("x",), ("k", "j"))
+    wide, narrow = (fit_features(df, roles, max_levels=limit) for limit in (100, 10_000))
+    stages = [r["stage"] for r in stage_table(wide.model, spark).orderBy("position").collect()]
+    assert stages[1:3] == ["StringIndexerModel", "WideIndexerModel"]
+    check_known(wide, df)
+    with pytest.raises(ValueError, match="k"):
+        check_known(wide, df.withColumn("k", F.lit("new")))
+    save_pipeline(wide.model, str(tmp_path / "wide"))
+    for model in (wide, load_pipeline(str(tmp_path / "wide"))):
+        both = model.transform(df).select("id", F.col("features").alias("a")).join(narrow.transform(df).select("id", F.col("features").alias("b")), "id")
+        assert both.where(vector_to_array("a") != vector_to_array("b")).count() == 0 and both.count() == 4000
 
 
 def test_any_number_of_categories_is_ranked(spark):
