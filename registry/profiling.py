@@ -78,6 +78,22 @@ def crosstab_all_labels(spark, sf_dir):
     return profile.crosstab_wide(table(spark, sf_dir, "orders"), roles)
 
 
+@query(
+    "crosstab_by_label",
+    """
+SELECT 'o_orderpriority' AS feature, o_orderpriority AS value,
+       CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS "n_F",
+       CAST(count(*) FILTER (o_orderstatus = 'O') AS BIGINT) AS "n_O",
+       CAST(count(*) FILTER (o_orderstatus = 'P') AS BIGINT) AS "n_P"
+FROM orders GROUP BY ALL
+""",
+)
+def crosstab_by_label(spark, sf_dir):
+    """A column for every target value that the data hold."""
+    roles = Roles("o_orderstatus", "F", "O", categorical=("o_orderpriority",))
+    return profile.crosstab_by_label(table(spark, sf_dir, "orders"), roles)
+
+
 CUSTOMER_SQL = "(SELECT *, c_acctbal > 0 AS in_credit FROM customer)"
 
 
@@ -275,6 +291,26 @@ def ks_normal_p_values(spark, sf_dir):
     return rounded(distances.drop("ks_statistic"), "p_value")
 
 
+EFFECTIVE = "(n_0 * n_1 / (n_0 + n_1))"
+TWO_SAMPLE_P_SQL = " + ".join(
+    f"{2 * (-1) ** (k - 1)} * exp(CAST({-2 * k * k} AS DOUBLE) * {EFFECTIVE} * distance * distance)" for k in range(1, 13)
+)
+
+
+@query(
+    "ks_two_sample_p_values",
+    f"""
+SELECT feature, CAST(n_0 AS BIGINT) AS n_0, CAST(n_1 AS BIGINT) AS n_1, round(distance, {PLACES}) AS ks_statistic,
+       round(CASE WHEN sqrt({EFFECTIVE}) * distance <= 0.2 THEN 1 ELSE greatest(0, least(1, {TWO_SAMPLE_P_SQL})) END, {PLACES}) AS p_value
+FROM (SELECT feature, max(abs(cum_n0 / total_n0 - cum_n1 / total_n1)) AS distance, max(total_n0) AS n_0, max(total_n1) AS n_1
+      FROM ({running_sql("lineitem", "l_linestatus", "'F'", "'O'", LINE_NUMERIC)}) GROUP BY feature)
+""",
+)
+def ks_two_sample_p_values(spark, sf_dir):
+    counts = distance.class_counts(table(spark, sf_dir, "lineitem"), STATUS_ROLES)
+    return rounded(distance.ks_two_sample_test(counts), "ks_statistic", "p_value")
+
+
 def report_sql() -> str:
     """Describe statistics of both classes, distances from a normal and between the classes."""
     functions = {"count": "count", "mean": "avg", "stddev": "stddev_samp", "min": "min", "max": "max"}

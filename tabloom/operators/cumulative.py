@@ -40,45 +40,56 @@ class Series:
     weights: Mapping[str, Column] = field(default_factory=dict)
 
 
-def _bucket_count(df: DataFrame) -> int:
+def bucket_count(df: DataFrame) -> int:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(MIN_BUCKETS, min(MAX_BUCKETS, 4 * partitions))
 
 
-def _borders(df: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
-    """Bucket borders per column: at most ``buckets - 1`` numbers each reach the driver.
+def sketch_size(buckets: int) -> int:
+    return max(200, min(8192, 2 * buckets))
 
-    Every task builds one small sketch per column. The sketches are merged in two steps, so that
-    no task receives one from every input partition.
-    """
-    size = max(200, min(8192, 2 * buckets))
+
+def finite_borders(partial: DataFrame, sketches: Sequence[str], buckets: int) -> list[list[float]]:
+    """Borders from columns of partial sketches: at most ``buckets - 1`` numbers each reach the driver."""
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
-    partial = df.groupBy(group.alias("g")).agg(*[F.kll_sketch_agg_double(c, size).alias(c) for c in columns])
-    merged = partial.agg(*[F.kll_merge_agg_double(c).alias(c) for c in columns])
+    merged = partial.agg(*[F.kll_merge_agg_double(c).alias(c) for c in sketches])
     # A sketch without any value has no quantiles to ask for.
     quantiles = merged.select(
-        *[F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, steps)).alias(c) for c in columns]
+        *[F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, steps)).alias(c) for c in sketches]
     ).first()
     borders = []
-    for column in columns:
+    for column in sketches:
         inner = sorted({q for q in quantiles[column] or [] if math.isfinite(q)}) or [0.0]
         borders.append([-math.inf, *inner, math.inf])
     return borders
 
 
-def cumulative_weights(df: DataFrame, series: Sequence[Series], buckets: int | None = None) -> DataFrame:
+def _borders(df: DataFrame, columns: Sequence[str], buckets: int) -> list[list[float]]:
+    """Bucket borders per column, from one pass.
+
+    Every task builds one small sketch per column. The sketches are merged in two steps, so that
+    no task receives one from every input partition.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    partial = df.groupBy(group.alias("g")).agg(*[F.kll_sketch_agg_double(c, sketch_size(buckets)).alias(c) for c in columns])
+    return finite_borders(partial, columns, buckets)
+
+
+def cumulative_weights(
+    df: DataFrame, series: Sequence[Series], buckets: int | None = None, borders: list[list[float]] | None = None
+) -> DataFrame:
     """Running weight totals per series in ascending value order.
 
     Returns one row per series and distinct non-null value: ``series``, ``value`` and, for each
     weight ``w``, its sum at that value ``w``, the running sum up to and including it ``cum_w``
     and the grand total ``total_w``. NaN counts as the largest value. ``value`` is a double; long
-    and decimal values that are one double but differ keep a row each, in their own order.
+    and decimal values that are one double but differ keep a row each, in their own order. Known
+    ``borders``, one list per series, save the pass that looks for them.
     """
     weights = list(series[0].weights)
     if any(list(s.weights) != weights for s in series):
         raise ValueError("all series must carry the same weights")
-    buckets = buckets or _bucket_count(df)
+    buckets = buckets or bucket_count(df)
 
     def as_column(value: Column | str) -> Column:
         return F.col(value) if isinstance(value, str) else value
@@ -96,7 +107,7 @@ def cumulative_weights(df: DataFrame, series: Sequence[Series], buckets: int | N
         *[w.cast("bigint").alias(f"{name}_{i}") for i, s in enumerate(series) for name, w in s.weights.items()],
     )
     bucketed = Bucketizer(
-        splitsArray=_borders(prepared, [f"value_{i}" for i in count], buckets),
+        splitsArray=borders or _borders(prepared, [f"value_{i}" for i in count], buckets),
         inputCols=[f"value_{i}" for i in count],
         outputCols=[f"bucket_{i}" for i in count],
         handleInvalid="keep",

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabloom.functions.kolmogorov import one_sample, two_sample
 from tabloom.functions.normal import normal_cdf
 from tabloom.operators.cumulative import Series, cumulative_weights
-from tabloom.operators.profile import describe_by_class, pair_classes
+from tabloom.operators.overview import Overview, overview
+from tabloom.operators.profile import pair_classes
 from tabloom.roles import Roles
 
-# Terms of the alternating series for the limiting distribution; the next one is below 1e-30
-# wherever the series is used.
-SERIES_TERMS = 12
 
-
-def class_counts(df: DataFrame, roles: Roles, buckets: int | None = None) -> DataFrame:
+def class_counts(df: DataFrame, roles: Roles, buckets: int | None = None, borders: list[list[float]] | None = None) -> DataFrame:
     """Running row counts of both classes along every numeric column.
 
     ``(feature, value, n0, n1, cum_n0, cum_n1, total_n0, total_n1)``; rows of other classes and
@@ -27,7 +25,7 @@ def class_counts(df: DataFrame, roles: Roles, buckets: int | None = None) -> Dat
         "n1": (F.col(roles.label) == F.lit(roles.positive)).cast("int"),
     }
     series = [Series(c, c, weights) for c in roles.numeric]
-    return cumulative_weights(present, series, buckets).withColumnRenamed("series", "feature")
+    return cumulative_weights(present, series, buckets, borders).withColumnRenamed("series", "feature")
 
 
 def _share(count: Column, total: Column) -> Column:
@@ -43,15 +41,14 @@ def ks_two_sample(counts: DataFrame) -> DataFrame:
     return counts.groupBy("feature").agg(F.max(_gap()).alias("ks_statistic"))
 
 
-def _kolmogorov_p_value(statistic: Column, n: Column) -> Column:
-    """Limiting p-value of a one-sample distance. The series is alternating and needs a large
-    argument; below 0.2 the p-value is 1 to more than ten places."""
-    argument = F.sqrt(n) * statistic
-    x = F.greatest(argument, F.lit(0.2))
-    total = F.lit(0.0)
-    for k in range(1, SERIES_TERMS + 1):
-        total = total + F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * x * x)
-    return F.when(argument <= 0.2, F.lit(1.0)).when(argument > 0.2, F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
+def ks_two_sample_test(counts: DataFrame) -> DataFrame:
+    """``(feature, ks_statistic, n_0, n_1, p_value)``: the distance between the classes, their sizes,
+    and the chance of such a distance if both had one distribution. The p-value is exact for small
+    classes without ties and too large with ties; for large classes it is the limit. A class without values gives nulls."""
+    found = counts.groupBy("feature").agg(F.max(_gap()).alias("ks_statistic"), *[F.max(f"total_n{i}").alias(f"n_{i}") for i in (0, 1)])
+    sound = (F.col("n_0") > 0) & (F.col("n_1") > 0)
+    p_value = F.when(sound, two_sample(F.col("ks_statistic"), F.col("n_0"), F.col("n_1")))
+    return found.withColumn("p_value", p_value)
 
 
 def _distances(counts: DataFrame, described: DataFrame, roles: Roles, fit: str) -> DataFrame:
@@ -94,29 +91,33 @@ def ks_normal(counts: DataFrame, described: DataFrame, roles: Roles, fit: str =
 
     ``fit="class0"`` compares both classes with the normal that has the mean and standard
     deviation of the negative class; ``fit="own"`` gives every class its own. A class without
-    spread gets a null statistic.
+    spread gets a null statistic. The p-value is exact below 100 values and the limit beyond, both
+    for a normal that is not fitted to the same values.
     """
     rows = [
         F.struct(
             F.lit(name).alias("label"),
             F.col(f"ks_{i}").alias("ks_statistic"),
-            _kolmogorov_p_value(F.col(f"ks_{i}"), F.col(f"n_{i}").cast("double")).alias("p_value"),
+            F.when(F.col(f"ks_{i}").isNotNull(), one_sample(F.col(f"ks_{i}"), F.col(f"n_{i}"))).alias("p_value"),
         )
         for i, name in enumerate(roles.class_names)
     ]
     return _distances(counts, described, roles, fit).select("feature", F.inline(F.array(*rows)))
 
 
-def numeric_report(df: DataFrame, roles: Roles, fit: str = "class0", buckets: int | None = None) -> DataFrame:
+def numeric_report(df: DataFrame, roles: Roles, fit: str = "class0", buckets: int | None = None, seen: Overview | None = None) -> DataFrame:
     """``(feature, statistic, class_0, class_1)`` for every numeric column.
 
     The five describe statistics, the distance of each class from a normal (``ks_normal``) and
-    the distance between the classes (``ks_two_sample``, the same in both columns).
+    the distance between the classes (``ks_two_sample``, the same in both columns). Two scans: one
+    for statistics and bucket borders together, unless an overview is given, and one for the counts.
     """
-    described = describe_by_class(df, roles)
+    seen = seen or overview(df, roles, buckets)
+    described = seen.described()
     rows = [
         F.struct(F.lit(name).alias("statistic"), F.col(a).alias("class_0"), F.col(b).alias("class_1"))
         for name, a, b in (("ks_normal", "ks_0", "ks_1"), ("ks_two_sample", "ks_between", "ks_between"))
     ]
-    distances = _distances(class_counts(df, roles, buckets), described, roles, fit).select("feature", F.inline(F.array(*rows)))
+    counts = class_counts(df, roles, seen.buckets, seen.borders())
+    distances = _distances(counts, described, roles, fit).select("feature", F.inline(F.array(*rows)))
     return pair_classes(described, roles).unionByName(distances)

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabloom.operators.overview import OTHER, class_code, finite
 from tabloom.roles import Roles
+from tabloom.sources.shared import stored
 
 STATISTICS = ("count", "mean", "stddev", "min", "max")
 
@@ -81,6 +83,24 @@ def crosstab_wide(df: DataFrame, roles: Roles) -> DataFrame:
     )
 
 
+def crosstab_by_label(df: DataFrame, roles: Roles, max_labels: int = 1000) -> DataFrame:
+    """``(feature, value, n_<label>, ...)``: one count column for every target value there is, whatever
+    the two named ones are, in order of the values; rows without a target value count in ``n_null``.
+
+    One scan: the long table is stored, its target values become the columns. More than ``max_labels``
+    of them are an error, and so are a null and a value ``null`` side by side."""
+    long = stored(crosstab(df, roles), "crosstab")
+    labels = [r["label"] for r in long.select("label").distinct().limit(max_labels + 1).collect()]
+    if len(labels) > max_labels:
+        raise ValueError(f"more than {max_labels} target values in {roles.label}")
+    if None in labels and "null" in labels:
+        raise ValueError(f"{roles.label} holds nulls and the value 'null'")
+    names = sorted("null" if label is None else label for label in labels)
+    named = long.withColumn("label", F.coalesce("label", F.lit("null")))
+    wide = named.groupBy("feature", "value").pivot("label", names).agg(F.sum("n"))
+    return wide.select("feature", "value", *[F.coalesce(F.col(f"`{name}`"), F.lit(0)).alias(f"n_{name}") for name in names])
+
+
 def describe_by_class(df: DataFrame, roles: Roles) -> DataFrame:
     """``(feature, label, count, mean, stddev, min, max)`` of every numeric column and class.
 
@@ -125,6 +145,31 @@ def join_class_statistics(left: DataFrame, right: DataFrame, on: str = "statisti
     return left.join(right, on, "inner")
 
 
+def _bin_of(column: str, limits: tuple[float | None, float | None], bins: int) -> Column:
+    """Bin 1..bins of a value; 0, bins + 1 and bins + 2 for the infinities and NaN."""
+    lower, upper = limits
+    value = F.col(f"`{column}`").cast("double")
+    if lower is None or lower == upper:
+        place = F.lit(1)
+    else:
+        place = F.least(F.width_bucket(finite(column), F.lit(lower), F.lit(upper), F.lit(bins)), F.lit(bins)).cast("int")
+    infinity = F.lit(float("inf"))
+    beyond = F.when(F.isnan(value), F.lit(bins + 2)).when(value == infinity, F.lit(bins + 1)).when(value == -infinity, F.lit(0))
+    return F.when(value.isNotNull(), F.coalesce(beyond, place))
+
+
+def _with_limits(counts: DataFrame, ranges: dict[str, tuple[float | None, float | None]], bins: int) -> DataFrame:
+    """``(feature, label, bin, lower, upper, n)`` from counts per bin."""
+    known = {c: r for c, r in ranges.items() if r[0] is not None}
+    if not known:
+        raise ValueError("none of the numeric columns has a value")
+    lowest = F.create_map(*[part for c, r in known.items() for part in (F.lit(c), F.lit(r[0]))])
+    width = F.create_map(*[part for c, r in known.items() for part in (F.lit(c), F.lit((r[1] - r[0]) / bins))])
+    inside = (F.col("bin") >= 1) & (F.col("bin") <= bins)
+    lower = F.when(inside, lowest[F.col("feature")] + width[F.col("feature")] * (F.col("bin") - 1))
+    return counts.select("feature", "label", "bin", lower.alias("lower"), (lower + width[F.col("feature")]).alias("upper"), "n")
+
+
 def histogram(df: DataFrame, roles: Roles, bins: int = 10) -> DataFrame:
     """``(feature, label, bin, lower, upper, n)``: equal-width bins, 1..bins, per numeric column and class.
 
@@ -135,37 +180,31 @@ def histogram(df: DataFrame, roles: Roles, bins: int = 10) -> DataFrame:
     """
     roles.require(df)
     present = df.where(F.col(roles.label).isin(*roles.classes))
-    infinity = F.lit(float("inf"))
-
-    def finite(column: str) -> Column:
-        value = F.col(column).cast("double")
-        return F.when(~F.isnan(value) & (F.abs(value) != infinity), value)
-
     only = present.select(*[finite(c).alias(c) for c in roles.numeric])
     ranges = {r["feature"]: (r["min"], r["max"]) for r in column_ranges(only, roles.numeric).collect()}
-
-    def bin_of(column: str) -> Column:
-        lower, upper = ranges[column]
-        value = F.col(column).cast("double")
-        if lower is None or lower == upper:
-            place = F.lit(1)
-        else:
-            place = F.least(F.width_bucket(finite(column), F.lit(lower), F.lit(upper), F.lit(bins)), F.lit(bins)).cast("int")
-        beyond = F.when(F.isnan(value), F.lit(bins + 2)).when(value == infinity, F.lit(bins + 1)).when(value == -infinity, F.lit(0))
-        return F.when(value.isNotNull(), F.coalesce(beyond, place))
-
-    binned = present.select(F.col(roles.label).cast("string").alias("label"), *[bin_of(c).alias(c) for c in roles.numeric])
+    binned = present.select(F.col(roles.label).cast("string").alias("label"), *[_bin_of(c, ranges[c], bins).alias(c) for c in roles.numeric])
     counts = (
         binned.unpivot(["label"], list(roles.numeric), "feature", "bin")
         .where(F.col("bin").isNotNull())
         .groupBy("feature", "label", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    known = [c for c in roles.numeric if ranges[c][0] is not None]
-    if not known:
-        raise ValueError("none of the numeric columns has a value")
-    lowest = F.create_map(*[part for c in known for part in (F.lit(c), F.lit(ranges[c][0]))])
-    width = F.create_map(*[part for c in known for part in (F.lit(c), F.lit((ranges[c][1] - ranges[c][0]) / bins))])
-    inside = (F.col("bin") >= 1) & (F.col("bin") <= bins)
-    lower = F.when(inside, lowest[F.col("feature")] + width[F.col("feature")] * (F.col("bin") - 1))
-    return counts.select("feature", "label", "bin", lower.alias("lower"), (lower + width[F.col("feature")]).alias("upper"), "n")
+    return _with_limits(counts, ranges, bins)
+
+
+def counted(df: DataFrame, roles: Roles, ranges: dict[str, tuple[float | None, float | None]], bins: int = 10) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``crosstab`` and of ``histogram`` from one scan: categories and bins are counted by
+    the same aggregate, whose result, one row per category or bin and target value, is stored."""
+    roles.require(df)
+    columns = {f"c{i}": F.col(f"`{c}`").cast("string") for i, c in enumerate(roles.categorical)}
+    columns |= {f"b{i}": _bin_of(c, ranges[c], bins).cast("string") for i, c in enumerate(roles.numeric)}
+    known = class_code(roles) != OTHER
+    narrow = df.select(F.col(f"`{roles.label}`").cast("string").alias("label"), known.alias("known"), *[c.alias(n) for n, c in columns.items()])
+    long = narrow.unpivot(["label", "known"], list(columns), "kind", "value")
+    counts = stored(long.groupBy("kind", "value", "label", "known").agg(F.count(F.lit(1)).alias("n")), "profile-counts")
+    kind, place = F.substring("kind", 1, 1), F.expr("int(substring(kind, 2))")
+    names = {k: F.get(F.array(*[F.lit(c) for c in cs]) if cs else F.array().cast("array<string>"), place) for k, cs in (("c", roles.categorical), ("b", roles.numeric))}
+    crossed = counts.where(kind == "c").select(names["c"].alias("feature"), "value", "label", "n")
+    in_bins = counts.where((kind == "b") & F.col("known") & F.col("value").isNotNull())
+    in_bins = in_bins.select(names["b"].alias("feature"), "label", F.col("value").cast("int").alias("bin"), "n")
+    return crossed, _with_limits(in_bins, ranges, bins)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tabloom import Roles
 from tabloom.operators import profile
+from tabloom.operators.overview import overview
 
 ROLES = Roles("y", 0, 1, ("x",), ("a", "b"))
 ROWS = [(0, 1.0, "p", 1), (0, 2.0, "p", 2), (1, 3.0, "q", 1), (1, None, None, 1), (None, 9.0, "p", 2)]
@@ -85,3 +86,38 @@ def test_roles_are_checked(df):
         Roles("y", 0, 1, ("x",), ("x",))
     with pytest.raises(ValueError, match="differ"):
         Roles("y", 0, 0)
+
+
+def test_crosstab_by_all_labels(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y"), (None, "y"), ("a b.c", None)], "y string, k string")
+    roles = Roles("y", "a", "b", categorical=("k",))
+    found = profile.crosstab_by_label(df, roles)
+    assert found.columns == ["feature", "value", "n_a", "n_a b.c", "n_b", "n_null"]
+    assert sorted((tuple(r)[1:] for r in found.collect()), key=repr) == [("x", 1, 0, 1, 0), ("y", 0, 0, 1, 1), (None, 0, 1, 0, 0)]
+    with pytest.raises(ValueError, match="more than 2"):
+        profile.crosstab_by_label(df, roles, max_labels=2)
+    with pytest.raises(ValueError, match="null"):
+        profile.crosstab_by_label(df.union(spark.createDataFrame([("null", "x")], df.schema)), roles)
+
+
+def test_one_pass_gives_the_rows_of_the_separate_reports(spark):
+    """Infinities, NaN, nulls, a third class, an empty class and far-off values."""
+    nan, inf = float("nan"), float("inf")
+    rows = [("n", x, 1e9 + x) for x in (1.0, 2.5, -0.0, 4.0)] + [("p", x, 1e9 - x) for x in (nan, inf, 3.0, -inf)]
+    rows += [("p", None, 1e9), ("other", 100.0, 5.0), (None, -100.0, None)]
+    df = spark.createDataFrame(rows, "y string, x double, z double").withColumn("k", F.col("x") > 2).repartition(4)
+    roles = Roles("y", "n", "p", ("x", "z"), ("k",))
+
+    def same(a, b):
+        def cells(t):
+            return sorted((tuple("nan" if isinstance(v, float) and v != v else round(v, 6) if isinstance(v, float) else v for v in r) for r in t.select(b.columns).collect()), key=repr)
+
+        assert cells(a) == cells(b)
+
+    seen = overview(df, roles)
+    same(seen.row_count(), profile.row_count(df))
+    same(seen.described(), profile.describe_by_class(df, roles))
+    crossed, binned = profile.counted(df, roles, seen.finite_ranges())
+    same(crossed, profile.crosstab(df, roles))
+    same(binned, profile.histogram(df, roles))
+    assert overview(df.where("false"), roles).row_count().first()[0] == 0
