@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from registry import query
 from registry.features import SEED, bucket_sql
-from registry.inputs import LINE_KEYS, TARGET_ROLES, lines_with_target
+from registry.inputs import LINE_KEYS, TARGET_ROLES, lines_with_target, table
+from tabloom import Roles
 from tabloom.operators import metrics, models, scoring
 from tabloom.operators.features import FEATURES, LABEL_COLUMN, fit_features
 from tabloom.operators.split import SPLIT_BUCKETS, add_fold, split
@@ -138,6 +139,40 @@ def grid_search(spark, sf_dir):
         return models.search_table(models.search(models.LOGISTIC, rows, parallelism=4), models.LOGISTIC, spark)
 
 
+CUSTOMER_ROLES = Roles("likely", 0, 1, ("c_acctbal",), ("c_mktsegment", "c_nationkey"))
+SEARCH_FOLDS = 3
+
+
+def searched_customers(spark, sf_dir):
+    """Customers with a target that follows from their balance, nation and segment, but for noise by key."""
+    noise = F.pmod(F.col("c_custkey") * 7919, F.lit(1000)) / 2500
+    segment = (F.col("c_mktsegment") == "BUILDING").cast("int") / 5
+    likely = F.col("c_acctbal") / 10000 + F.col("c_nationkey") % 5 / 10 + segment + noise > 0.95
+    return table(spark, sf_dir, "customer").withColumn("likely", likely.cast("int"))
+
+
+@query(
+    "search_all_grids",
+    "SELECT model, candidates, candidates AS n_inside, best, n_rows FROM (SELECT CAST(count(*) AS BIGINT) AS n_rows FROM customer),"
+    " (VALUES ('gbt', CAST(1 AS BIGINT), true), ('lr', 4, true), ('rf', 3, true)) grids(model, candidates, best)",
+)
+def search_all_grids(spark, sf_dir):
+    """The grids of all three classifiers over three folds of a small table. What must hold of a search:
+    every candidate has a mean area in (0, 1], and the model fitted in the end is the best one's."""
+    rows = add_fold(searched_customers(spark, sf_dir), ["c_custkey"], SEARCH_FOLDS)
+    prepared = fit_features(rows, CUSTOMER_ROLES).transform(rows).select(LABEL_COLUMN, FEATURES, "fold")
+    tables, counted = [], rows.count()
+    with models.kept_for_training(prepared) as kept:
+        for spec in models.DEFAULT_SPECS:
+            found = models.search(spec, kept, folds=SEARCH_FOLDS, parallelism=4)
+            best = spec.param_maps(spec.build())[max(range(len(found.avgMetrics)), key=found.avgMetrics.__getitem__)]
+            as_best = all(found.bestModel.getOrDefault(p.name) == v for p, v in best.items())
+            rows_of = models.search_table(found, spec, spark).groupBy("model")
+            table_of = rows_of.agg(F.count(F.lit(1)).alias("candidates"), F.count_if((F.col("mean") > 0) & (F.col("mean") <= 1)).alias("n_inside"))
+            tables.append(table_of.withColumn("best", F.lit(as_best)).withColumn("n_rows", F.lit(counted).cast("long")))
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
 @query("train_job")
 def train_job(spark, sf_dir):
     return jobs.train(modelling_lines(spark, sf_dir), TARGET_ROLES, LINE_KEYS, folds=0).metrics

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tabloom.operators.features import FEATURES, LABEL_COLUMN
-
-SELECTION_METRIC = "areaUnderPR"
+from tabloom.operators.metrics import evaluate
+from tabloom.sources.shared import Scratch, stored
 
 
 @dataclass(frozen=True)
@@ -95,34 +100,105 @@ def fit(spec: ModelSpec, training: DataFrame, label: str = LABEL_COLUMN, feature
 def search(
     spec: ModelSpec,
     training: DataFrame,
-    fold_column: str | None = "fold",
+    fold_column: str = "fold",
     folds: int = 10,
     parallelism: int = 2,
     label: str = LABEL_COLUMN,
     features: str = FEATURES,
-    seed: int = 42,
-    curve_bins: int = 0,
+    resume: str | None = None,
 ) -> CrossValidatorModel:
     """Search the grid of ``spec`` by cross-validated area under the precision-recall curve.
 
-    With ``fold_column`` the folds are the caller's (0..folds-1, see ``split.add_fold``) and
-    repeat exactly. Without it MLlib draws them, which depends on the partitioning.
+    The folds are the caller's, 0..folds-1 in ``fold_column`` (see ``split.add_fold``), so they repeat
+    exactly. Rows are read from ``training`` as it is; keep it cached (``kept_for_training``): no fold is
+    copied. All candidates of a fold are fitted, score its rows side by side in one pass, and their
+    exact areas are taken together from running totals over that narrow table.
 
-    A positive ``curve_bins`` lets MLlib shorten a curve of at least ``2 * curve_bins`` distinct scores by grouping them within
-    partitions, so its area then depends slightly on the partitioning; by default every score is kept.
+    With ``resume``, a folder that outlives the driver, the areas of every finished fold are noted
+    there, and a search over the same rows, settings and grid takes them up instead of fitting again.
     """
     estimator = spec.build(label, features)
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=spec.param_maps(estimator),
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName=SELECTION_METRIC, numBins=curve_bins),
-        numFolds=folds,
-        parallelism=parallelism,
-        collectSubModels=False,
-        seed=seed,
-        foldCol=fold_column or "",
-    )
-    return validator.fit(training.select(label, features, *([fold_column] if fold_column else [])))
+    maps = spec.param_maps(estimator)
+    rows = training.select(label, features, fold_column)
+    _check_folds(rows, fold_column, folds)
+    noted = Manifest(resume, spec, rows, folds) if resume else None
+    areas: dict[int, list[float]] = noted.finished(len(maps)) if noted else {}
+    spark = training.sparkSession
+    for fold in range(folds):
+        if fold in areas:
+            continue
+        fold_training = rows.where(F.col(fold_column) != fold).select(label, features)
+        fits = estimator.fitMultiple(fold_training, maps)
+        with ThreadPool(max(1, min(parallelism, len(maps)))) as pool:
+            fitted = dict(pool.imap_unordered(inheritable_thread_target(spark)(lambda _: next(fits)), range(len(maps))))
+        areas[fold] = candidate_areas([fitted[i] for i in range(len(maps))], rows.where(F.col(fold_column) == fold), label)
+        if noted:
+            noted.add(fold, areas[fold])
+    table = np.array([areas[fold] for fold in range(folds)])
+    best = int(table.mean(axis=0).argmax())
+    model = estimator.fit(rows.select(label, features), maps[best])
+    return CrossValidatorModel(model, table.mean(axis=0).tolist(), None, table.std(axis=0).tolist())
+
+
+def _check_folds(rows: DataFrame, fold_column: str, folds: int) -> None:
+    if folds < 2:
+        raise ValueError("a search needs two folds at least")
+    inside = F.col(fold_column).isin(*range(folds))
+    found = rows.agg(F.collect_set(F.when(inside, F.col(fold_column).cast("int"))), F.count_if(~F.coalesce(inside, F.lit(False)))).first()
+    if found[1] or len(found[0]) < folds:
+        raise ValueError(f"folds must be 0..{folds - 1}, each with rows; found {sorted(found[0])} and {found[1]} other rows")
+
+
+def candidate_areas(candidates: Sequence[Model], rows: DataFrame, label: str = LABEL_COLUMN) -> list[float]:
+    """The exact area under the precision-recall curve of every candidate on ``rows``."""
+    scored = rows
+    for i, model in enumerate(candidates):
+        scored = model.copy({model.rawPredictionCol: f"raw_{i}", model.probabilityCol: "", model.predictionCol: ""}).transform(scored)
+    narrow = scored.select(label, *[F.get(vector_to_array(f"raw_{i}"), 1).alias(f"score_{i}") for i in range(len(candidates))])
+    with Scratch(rows.sparkSession):
+        kept = stored(narrow, "fold-scores")
+        measured = evaluate(kept, {str(i): (f"score_{i}", None) for i in range(len(candidates))}, label)
+        found = {int(r["model"]): r["area_under_pr"] for r in measured.select("model", "area_under_pr").collect()}
+    return [found[i] for i in range(len(candidates))]
+
+
+class Manifest:
+    """Areas of the finished folds of one search, as a small table in a folder of the caller's.
+
+    Its rows carry a fingerprint of settings, grid, folds and training rows; others' rows are passed over."""
+
+    SCHEMA = "model string, fold int, candidate int, params string, area double, fingerprint string"
+
+    def __init__(self, folder: str, spec: ModelSpec, rows: DataFrame, folds: int) -> None:
+        self.spark, self.spec = rows.sparkSession, spec
+        self.path = f"{folder.rstrip('/')}/{spec.name}"
+        self.params = [described(m) for m in spec.param_maps(spec.build())]
+        label, features, fold = rows.columns
+        content = rows.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(label, vector_to_array(features), fold))).first()
+        told = [spec.estimator.__name__, sorted(map(str, spec.settings.items())), self.params, folds, *content]
+        self.fingerprint = hashlib.sha256(repr(told).encode()).hexdigest()
+
+    def finished(self, candidates: int) -> dict[int, list[float]]:
+        try:
+            noted = self.spark.read.schema(self.SCHEMA).parquet(self.path).where(F.col("fingerprint") == self.fingerprint)
+            rows = noted.select("fold", "candidate", "area").distinct().collect()
+        except AnalysisException as failure:
+            if failure.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        folds: dict[int, dict[int, float]] = {}
+        for fold, candidate, area in rows:
+            folds.setdefault(fold, {})[candidate] = area
+        return {fold: [areas[i] for i in range(candidates)] for fold, areas in folds.items() if len(areas) == candidates}
+
+    def add(self, fold: int, areas: Sequence[float]) -> None:
+        rows = [(self.spec.name, fold, i, self.params[i], float(area), self.fingerprint) for i, area in enumerate(areas)]
+        self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def described(params: Mapping) -> str:
+    """A grid point as text, parameters by name."""
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda item: item[0].name))
 
 
 def search_table(found: CrossValidatorModel, spec: ModelSpec, spark: SparkSession) -> DataFrame:
@@ -132,7 +208,7 @@ def search_table(found: CrossValidatorModel, spec: ModelSpec, spark: SparkSessio
         (
             spec.name,
             i,
-            ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda item: item[0].name)),
+            described(params),
             float(found.avgMetrics[i]),
             float(found.stdMetrics[i]),
         )

@@ -96,6 +96,7 @@ class Settings:
     label_order: str = "roles"
     max_levels: int = 10_000
     training_partitions: int | None = None
+    resume_path: str | None = None
 
 
 COLUMN_TYPES = {

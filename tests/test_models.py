@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import dataclasses
+import os
 
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from registry.inputs import LINE_KEYS, TARGET_ROLES
@@ -17,6 +20,7 @@ from tabloom.plans import jobs
 from tabloom.presets import BANK_CONTACTS_SCHEMA
 from tabloom.roles import JdbcSource
 from tabloom.sources.fitted import load_model, load_pipeline
+from tabloom.sources.shared import shared_folder
 
 SMALL = (
     dataclasses.replace(models.LOGISTIC, settings={**models.LOGISTIC.settings, "maxIter": 15}),
@@ -47,9 +51,8 @@ def test_grids(spark, spec, size):
 
 
 def test_search_does_not_depend_on_partitioning(spark, prepared):
-    # With MLlib's default of 1,000 bins the fold of 2,057 rows differs by 3e-5: bins are cut per partition.
     tables = [
-        [tuple(r) for r in models.search_table(models.search(SMALL[0], p, folds=3, parallelism=4, curve_bins=0), SMALL[0], spark).collect()]
+        [tuple(r) for r in models.search_table(models.search(SMALL[0], p, folds=3, parallelism=4), SMALL[0], spark).collect()]
         for p in (prepared, prepared.repartition(5))
     ]
     assert len(tables[0]) == 4
@@ -58,6 +61,72 @@ def test_search_does_not_depend_on_partitioning(spark, prepared):
         assert a[3:] == pytest.approx(b[3:], abs=1e-9)
 
 
+@pytest.mark.parametrize("spec", SMALL[:2])
+def test_search_equals_mllib_validator(spark, prepared, spec):
+    estimator = spec.build()
+    validator = CrossValidator(
+        estimator=estimator,
+        estimatorParamMaps=spec.param_maps(estimator),
+        evaluator=BinaryClassificationEvaluator(metricName="areaUnderPR", numBins=0),
+        numFolds=3,
+        foldCol="fold",
+    )
+    theirs, ours = validator.fit(prepared), models.search(spec, prepared, folds=3)
+    assert ours.avgMetrics == pytest.approx(theirs.avgMetrics, abs=1e-9)
+    assert ours.stdMetrics == pytest.approx(theirs.stdMetrics, abs=1e-9)
+    for name in spec.grid:
+        assert ours.bestModel.getOrDefault(name) == theirs.bestModel.getOrDefault(name)
+
+
+def test_search_keeps_one_cached_copy_and_leaves_no_table(spark, lines, monkeypatch):
+    rows = add_fold(lines, LINE_KEYS, 2)
+    fitted = fit_features(rows, TARGET_ROLES).transform(rows).select(LABEL_COLUMN, FEATURES, "fold")
+    cached, measure = [], models.candidate_areas
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def watched(candidates, held, label):
+        cached.append(spark.sparkContext._jsc.getPersistentRDDs().size() - before)
+        return measure(candidates, held, label)
+
+    monkeypatch.setattr(models, "candidate_areas", watched)
+    tables = set(os.listdir(shared_folder(spark)))
+    with models.kept_for_training(fitted) as kept:
+        models.search(SMALL[0], kept, folds=2, parallelism=4)
+    assert cached == [1, 1]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert set(os.listdir(shared_folder(spark))) == tables
+
+
+def test_a_stopped_search_is_taken_up(spark, prepared, monkeypatch, tmp_path):
+    whole = models.search_table(models.search(SMALL[0], prepared, folds=3), SMALL[0], spark).collect()
+    measure, calls = models.candidate_areas, []
+
+    def failing(candidates, held, label):
+        calls.append(len(candidates))
+        if len(calls) == 3:
+            raise RuntimeError("driver lost")
+        return measure(candidates, held, label)
+
+    monkeypatch.setattr(models, "candidate_areas", failing)
+    with pytest.raises(RuntimeError):
+        models.search(SMALL[0], prepared, folds=3, resume=str(tmp_path))
+    again = models.search(SMALL[0], prepared.repartition(3), folds=3, resume=str(tmp_path))
+    assert calls == [4] * 4
+    found = models.search_table(again, SMALL[0], spark).collect()
+    assert [r[:3] for r in found] == [r[:3] for r in whole]
+    assert [v for r in found for v in r[3:]] == pytest.approx([v for r in whole for v in r[3:]], abs=1e-9)
+    # Other rows or another grid start anew.
+    smaller = dataclasses.replace(SMALL[0], grid={"regParam": (0.1,)})
+    models.search(smaller, prepared, folds=3, resume=str(tmp_path))
+    models.search(smaller, prepared.limit(3000), folds=3, resume=str(tmp_path))
+    assert calls == [4] * 4 + [1] * 6
+
+
+def test_folds_are_checked(prepared):
+    with pytest.raises(ValueError, match="folds must be"):
+        models.search(SMALL[0], prepared, folds=4)
+
+
 def test_node_cache_does_not_change_the_forest(prepared):
     spec = SMALL[2]
     plain = dataclasses.replace(spec, settings={**spec.settings, "cacheNodeIds": True})

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import dataclasses
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from registry.inputs import LINE_NUMERIC, STATUS_ROLES, TARGET_ROLES, scored_lines, table
-from tabloom.operators import distance, metrics, profile
+from registry.inputs import LINE_KEYS, LINE_NUMERIC, STATUS_ROLES, TARGET_ROLES, scored_lines, table
+from registry.modelling import modelling_lines
+from tabloom.operators import distance, metrics, models, profile
 from tabloom.operators.features import fit_features
+from tabloom.plans import jobs
+from tabloom.sources.shared import Scratch, shared_folder
 
 
 def plan_of(df) -> str:
@@ -116,3 +121,55 @@ def test_categories_of_held_out_rows_only_are_found_before_fitting(spark):
     saved = []
     trained = jobs.train(odd, roles, ["id"], [spec], folds=0, handle_invalid="keep", training_partitions=3, save=lambda f, m: saved.append(sorted(m)))
     assert saved == [["lr"]] and trained.metrics.count() > 0
+
+
+def counting(df):
+    """``df`` and a counter of the rows that were read from it, whoever asked for them."""
+    read = df.sparkSession.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    return df.mapInPandas(passed, df.schema), read
+
+
+def test_explore_takes_four_scans_at_most(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_linestatus", "l_returnflag", "l_linenumber", *LINE_NUMERIC)
+    rows = lines.count()
+    counted, read = counting(lines)
+    tables = jobs.explore(counted, STATUS_ROLES)
+    assert read.value == 2 * rows
+    for name in ("schema", "rows", "crosstab", "histogram"):
+        tables[name].collect()
+    assert read.value == 2 * rows
+    tables["numeric"].collect()
+    assert read.value == 3 * rows
+    tables["sample"].collect()
+    assert read.value <= 4 * rows
+
+
+def test_numeric_report_takes_two_scans(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_linestatus", "l_returnflag", "l_linenumber", *LINE_NUMERIC)
+    counted, read = counting(lines)
+    distance.numeric_report(counted, STATUS_ROLES).collect()
+    assert read.value == 2 * lines.count()
+
+
+def test_features_are_fitted_on_one_scan(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_linestatus", "l_returnflag", "l_linenumber", *LINE_NUMERIC)
+    counted, read = counting(lines)
+    fit_features(counted, STATUS_ROLES)
+    assert read.value == lines.count()
+
+
+def test_train_and_score_leave_no_tables(spark, sf_dir, tmp_path):
+    lines = modelling_lines(spark, sf_dir)
+    small = dataclasses.replace(models.LOGISTIC, settings={**models.LOGISTIC.settings, "maxIter": 5})
+    before = set(os.listdir(shared_folder(spark)))
+    with Scratch(spark) as scratch:
+        trained = jobs.train(lines, TARGET_ROLES, LINE_KEYS, [small], folds=2)
+        assert trained.metrics.count() == 7
+        assert set(os.listdir(shared_folder(spark))) > before and scratch.paths
+    assert set(os.listdir(shared_folder(spark))) == before
