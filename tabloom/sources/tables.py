@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tabloom.roles import JdbcRange, JdbcSource
 
+#: Files that an error about headers names.
+SHOWN_FILES = 5
 NUMBER_WIDTH = {T.ByteType: 0, T.ShortType: 1, T.IntegerType: 2, T.LongType: 3, T.FloatType: 4, T.DoubleType: 5}
 
 
@@ -24,23 +28,55 @@ def read_csv(
     """CSV with a header line, read with a declared schema.
 
     ``check_header`` makes a header that disagrees with the schema an error instead of shifting
-    values into the wrong columns; without it the header is skipped and columns are taken by
-    position, whatever the file calls them. ``corrupt_column`` keeps the text of lines that do not fit.
+    values into the wrong columns, for every file under the path and before any value is read;
+    without it the header is skipped and columns are taken by position, whatever the file calls
+    them. ``corrupt_column`` keeps the text of lines that do not fit.
     """
+    if check_header:
+        wrong = wrong_headers(spark, path, schema.names, separator).limit(SHOWN_FILES).collect()
+        if wrong:
+            files = "; ".join(f"{r['file']}: {r['header']}" for r in wrong)
+            raise ValueError(f"headers that are not those of the schema, {schema.names}: {files}")
     reader = spark.read.option("header", True).option("sep", separator).option("mode", mode).option("enforceSchema", not check_header)
     if corrupt_column:
-        if check_header:
-            for file in [path] if isinstance(path, str) else path:
-                found = csv_header(spark, file, separator)
-                if [c.lower() for c in found] != [c.lower() for c in schema.names]:
-                    raise ValueError(f"the header of {file} is {found}, the schema has {schema.names}")
-        # The header check compares all declared columns, this one included.
+        # Spark's own header check compares all declared columns, this one included.
         schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column).option("enforceSchema", True)
     df = reader.schema(schema).csv(path)
     return df.repartition(partitions) if partitions else df
 
 
+def first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(file, line)``: the first line of every file under a path that has one.
+
+    A session of its own gives every piece of a file a task, which stops after its first lines; so
+    all files are opened, and little of them is read."""
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.openCostInBytes", apart.conf.get("spark.sql.files.maxPartitionBytes"))
+    lines = apart.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.iloc[:1]
+                return
+
+    return lines.mapInPandas(first, lines.schema).where("start = 0").select("file", "line")
+
+
+def wrong_headers(spark: SparkSession, path: str | list[str], names: Sequence[str], separator: str = ",") -> DataFrame:
+    """``(file, header)`` of the CSV files whose first line does not name the columns, in order and but for case."""
+    wanted = [name.lower() for name in names]
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [next(csv.reader([line.removeprefix("\ufeff")], delimiter=separator), []) for line in batch["line"]]
+            wrong = [[c.lower() for c in header] != wanted for header in found]
+            yield pd.DataFrame({"file": batch["file"], "header": [separator.join(h) for h in found]})[wrong]
+
+    return first_lines(spark, path).mapInPandas(compared, "file string, header string")
+
+
 def csv_header(spark: SparkSession, path: str, separator: str = ",") -> list[str]:
     """The column names in the header line."""
     return spark.read.option("header", True).option("sep", separator).csv(path).columns

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabloom.roles import JdbcRange, JdbcSource, table_schema
 from tabloom.sinks.predictions import drop_vectors, write_predictions
 from tabloom.sources.shared import fresh_path, shared_folder
-from tabloom.sources.tables import conform, csv_header, jdbc_options, local_rows, lower_case_columns, read_csv, read_jdbc
+from tabloom.sources.tables import conform, csv_header, first_lines, jdbc_options, local_rows, lower_case_columns, read_csv, read_jdbc, wrong_headers
 
 SCHEMA = table_schema({"a": "double", "b": "string"})
 
@@ -41,6 +41,22 @@ def test_other_header_is_an_error(spark, tmp_path):
         read_csv(spark, written(tmp_path, "b,a\nx,1.5\n"), SCHEMA).collect()
 
 
+@pytest.mark.parametrize("corrupt", [None, "broken"])
+def test_every_file_of_a_folder_is_checked(spark, tmp_path, corrupt):
+    for k in range(12):
+        (tmp_path / f"part{k:02}.csv").write_text("a,b\n" + f"{k}.5,x\n" * 50)
+    (tmp_path / "none.csv").write_text("")
+    (tmp_path / "quoted.csv").write_text('"A",b\n1.5,x\n')
+    folder = str(tmp_path)
+    assert read_csv(spark, folder, SCHEMA, corrupt_column=corrupt).where("a is not null").count() == 12 * 50 + 1
+    assert first_lines(spark, folder).count() == 13
+    (tmp_path / "part05.csv").write_text("b,a\n" + "x,1.5\n" * 50)
+    with pytest.raises(ValueError, match="part05.csv: b,a"):
+        read_csv(spark, folder, SCHEMA, corrupt_column=corrupt)
+    assert [r["header"] for r in wrong_headers(spark, folder, ["a", "b"]).collect()] == ["b,a"]
+    assert read_csv(spark, folder, SCHEMA, check_header=False, corrupt_column=corrupt).count() == 12 * 50 + 1
+
+
 def test_bad_number(spark, tmp_path):
     path = written(tmp_path, "a,b\nabc,x\n2,y\n")
     assert read_csv(spark, path, SCHEMA).where("a is null").count() == 1
