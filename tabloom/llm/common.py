@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.sources.shared import stored
+from tabloom.sources.shared import Scratch, stored
 
 _SHIPPED: set[str] = set()
 
@@ -88,33 +88,35 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has two long columns ``a`` and ``b``; loops and repeats are allowed. Alternates the
     large-star and small-star steps, each a grouped minimum (combined before the shuffle) joined
     back, and stores every round in the shared folder, so lineage stays short and a lost executor
-    costs a re-read. Nothing is collected but a count and a checksum per round. Rounds grow with
+    costs a re-read; of these tables two exist at most. Nothing is collected but a count and a checksum per round. Rounds grow with
     the logarithm of the largest component. Isolated nodes are not in the result.
     """
-    links = stored(
-        edges.where(F.col("a") != F.col("b"))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "links",
-    )
-    before = None
+    spark = edges.sparkSession
+    links = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    held, before = None, None
     while True:
+        with Scratch(spark, detached=True) as own:
+            links = stored(links, "links")
+        # The round before is read no more.
+        if held is not None:
+            held.close()
+        held = own
+        now = tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+        if now == before:
+            break
+        before = now
         both = links.union(links.select("b", "a")).toDF("a", "b")
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = (
+        links = (
             large.join(low, "a")
             .select(F.inline(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")), F.struct("a", F.col("low").alias("b")))))
             .where("a <> b")
             .distinct()
         )
-        links = stored(small, "links")
-        now = tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if now == before:
-            break
-        before = now
+    held.release()
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select("b", "b").distinct())
 
 
