@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import mapped
-from tabloom.llm.hashing import shingles
+from tabloom.llm.hashing import set_key, shingles
 
 THRESHOLD = 0.8
 #: Largest number of item shingles (8 bytes each) that is broadcast; larger sets are joined.
@@ -27,17 +27,20 @@ MATCHES = "doc_id long, item_id long, containment double"
 
 
 def shingle_sets(table: DataFrame, key: str) -> DataFrame:
-    """``id``, ``size`` and one row per distinct shingle of every row with words and an id."""
+    """``id``, ``own``, ``size`` and one row per distinct shingle of every row with words and an id.
+
+    ``own`` tells the texts of one id apart: it is a hash of the row's shingles."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, text in zip(batch["id"].tolist(), batch["text"].tolist(), strict=True):
                 found = shingles(text)
                 if len(found):
-                    yield pd.DataFrame({"id": name, "size": len(found), "shingle": found.view(np.int64)})
+                    own = int.from_bytes(set_key(found)[:8], "little", signed=True)
+                    yield pd.DataFrame({"id": name, "own": own, "size": len(found), "shingle": found.view(np.int64)})
 
     rows = table.select(F.col(key).cast("long").alias("id"), "text").where("id is not null and text is not null")
-    return mapped(rows, run, "id long, size int, shingle long")
+    return mapped(rows, run, "id long, own long, size int, shingle long")
 
 
 class Index:
@@ -86,8 +89,8 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, threshold: float
     threshold's share of shingles, once per pair.
 
     Rows with null id, null text or no word match nothing. Repeated rows give one match; of several
-    rows with one id each counts by itself and the best match of the id is kept. Other columns are
-    left behind; empty tables give no rows. Item shingles are broadcast only if their number is
+    rows with one id, documents or items, each counts by itself and the best match of the pair of
+    ids is kept. Texts of any length are compared whole. Other columns are left behind; empty tables give no rows. Item shingles are broadcast only if their number is
     within ``broadcast_limit``; larger benchmarks are joined on sketch shingles instead.
     """
     sets = shingle_sets(benchmark, "item_id")
@@ -101,7 +104,7 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, threshold: float
 def broadcast_matches(documents: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     rows = sets.toPandas()
     items = []
-    for item, own in rows.groupby("id")["shingle"]:
+    for (item, _), own in rows.groupby(["id", "own"])["shingle"]:
         items.append((int(item), np.unique(own.to_numpy().view(np.uint64))))
     index = documents.sparkSession.sparkContext.broadcast(Index(items, threshold))
 
@@ -118,15 +121,18 @@ def joined_matches(documents: DataFrame, sets: DataFrame, threshold: float) -> D
     """The same by joins: sketches find candidate pairs, all shingles verify them."""
     # Hashes are unsigned: flipping the sign bit orders them as the array version does.
     order = F.col("shingle").bitwiseXOR(F.lit(-(1 << 63)))
-    items = sets.dropDuplicates(["id", "shingle"]).select(F.col("id").alias("item_id"), F.col("size").alias("item_size"), "shingle", order.alias("at"))
+    item = ["item_id", "item_own"]
+    items = sets.dropDuplicates(["id", "own", "shingle"])
+    items = items.select(F.col("id").alias("item_id"), F.col("own").alias("item_own"), F.col("size").alias("item_size"), "shingle", order.alias("at"))
     keep = F.floor((1 - threshold) * F.col("item_size") + 1e-9) + 1
-    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("at"))
+    rank = F.row_number().over(Window.partitionBy(*item).orderBy("at"))
     sketches = items.withColumn("rank", rank).where(F.col("rank") <= keep)
-    own = shingle_sets(documents, "doc_id").select(F.col("id").alias("doc_id"), F.col("size").alias("doc_size"), "shingle")
+    texts = shingle_sets(documents, "doc_id").select(F.col("id").alias("doc_id"), "own", F.col("size").alias("doc_size"), "shingle")
     fits = (F.col("shingle") == F.col("s_shingle")) & (F.col("doc_size") >= threshold * F.col("item_size"))
-    probes = sketches.select("item_id", "item_size", F.col("shingle").alias("s_shingle"))
-    pairs = own.join(probes, fits).select("doc_id", "item_id").distinct()
-    full = pairs.join(items.select("item_id", "item_size", "shingle"), "item_id")
-    held = own.select("doc_id", "shingle").distinct()
-    counts = full.join(held, ["doc_id", "shingle"]).groupBy("doc_id", "item_id").agg((F.count("*") / F.first("item_size")).alias("containment"))
-    return counts.where(F.col("containment") >= threshold)
+    probes = sketches.select(*item, "item_size", F.col("shingle").alias("s_shingle"))
+    pairs = texts.join(probes, fits).select("doc_id", "own", *item).distinct()
+    full = pairs.join(items.select(*item, "item_size", "shingle"), item)
+    held = texts.select("doc_id", "own", "shingle").distinct()
+    counts = full.join(held, ["doc_id", "own", "shingle"]).groupBy("doc_id", "own", *item)
+    counts = counts.agg((F.count("*") / F.first("item_size")).alias("containment"))
+    return counts.where(F.col("containment") >= threshold).select("doc_id", "item_id", "containment")
