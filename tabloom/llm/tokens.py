@@ -65,17 +65,17 @@ def encoder(path: str) -> Encoder:
 
 
 class Encoder:
-    """``ids(texts)`` gives the tokenizer's ids of every text, without special tokens."""
+    """``ids(texts)`` gives the tokenizer's ids of every text; none are added around it. A text that
+    holds one of the vocabulary's added tokens, such as an end mark, goes through the tokenizer whole."""
 
     def __init__(self, path: str) -> None:
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         byte_of = _byte_of_sign()
-        ranks = {bytes(byte_of[c] for c in w): k for w, k in self.tokenizer.get_vocab().items() if w not in special}
+        ranks = {bytes(byte_of[c] for c in w): k for w, k in self.tokenizer.get_vocab().items() if w not in self.added}
         self.words = tiktoken.Encoding("words", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         self.kinds = _kinds()
         self.forget()
@@ -148,7 +148,8 @@ class Encoder:
         plain, other = [], []
         for k, t in enumerate(texts):
             if t:
-                (plain if "'" not in t and (t.isascii() or max(t) < chr(COVERED)) else other).append(k)
+                simple = "'" not in t and (t.isascii() or max(t) < chr(COVERED)) and not any(a in t for a in self.added)
+                (plain if simple else other).append(k)
         long = [k for k in plain if len(texts[k]) > PIECE]
         if long:
             plain = [k for k in plain if len(texts[k]) <= PIECE]
