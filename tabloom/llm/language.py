@@ -62,9 +62,8 @@ def letters(text: str) -> np.ndarray:
     """Code points of the lower-cased text with blanks for non-letters and no double blanks."""
     global _letter_table
     if not len(_letter_table):
-        _letter_table = np.array([c if chr(c).isalpha() else 32 for c in range(0x30000)], np.uint32)
-    cps = code_points(text.lower())
-    cps = np.where(cps < len(_letter_table), _letter_table[np.minimum(cps, len(_letter_table) - 1)], 32)
+        _letter_table = np.array([c if chr(c).isalpha() else 32 for c in range(0x110000)], np.uint32)
+    cps = _letter_table[code_points(text.lower())]
     blank = cps == 32
     keep = ~blank
     keep[1:] |= ~blank[:-1]
