@@ -152,36 +152,39 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) A
 FROM embeddings LEFT JOIN low ON low.a = vec_id LEFT JOIN degree ON degree.a = vec_id
 """,
     "op7_licence_scan": rf"""
-WITH templates(template, licence, wording) AS (VALUES {LICENCE_ROWS}),
-lines AS (
-  SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(text, '([.!?;:])\s+', '' || chr(10), 'g'), '[
-
-]+')) AS own,
-         generate_subscripts(regexp_split_to_array(regexp_replace(text, '([.!?;:])\s+', '' || chr(10), 'g'), '[
-
-]+'), 1) - 1 AS part
-  FROM documents
+WITH texts AS (
+  SELECT row_number() OVER () AS mark, doc_id, string_split(trim(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS ws
+  FROM (SELECT DISTINCT doc_id, text FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)
+),
+templates AS (
+  SELECT template, licence, string_split(trim(regexp_replace(lower(wording), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS ws
+  FROM (VALUES {LICENCE_ROWS}) t(template, licence, wording)
 ),
-words AS (
-  SELECT doc_id, part, NULL AS licence, string_split(trim(regexp_replace(lower(own), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS ws FROM lines
-  UNION ALL
-  SELECT NULL, template, licence, string_split(trim(regexp_replace(lower(wording), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') FROM templates
+known AS (
+  SELECT DISTINCT template, licence, len(ws) - 1 AS span, ws[i] || ' ' || ws[i + 1] AS pair
+  FROM (SELECT *, unnest(range(1, len(ws))) AS i FROM templates)
 ),
-pairs AS (
-  SELECT DISTINCT doc_id, part, licence, pair FROM (
-    SELECT doc_id, part, licence,
-           unnest(CASE WHEN len(ws) = 1 THEN [ws[1] || ' ' || ws[1]] ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS pair
-    FROM words WHERE ws <> ['']
-  )
+sized AS (SELECT *, count(*) OVER (PARTITION BY template) AS t_size FROM known),
+hits AS (
+  SELECT mark, doc_id, n, pos, template, licence, span, t_size, pair
+  FROM (SELECT mark, doc_id, len(ws) - 1 AS n, i - 1 AS pos, ws[i] || ' ' || ws[i + 1] AS pair FROM (SELECT *, unnest(range(1, len(ws))) AS i FROM texts))
+  JOIN sized USING (pair)
 ),
-sized AS (SELECT *, count(*) OVER (PARTITION BY doc_id, part, licence) AS size FROM pairs),
-dice AS (
-  SELECT d.doc_id, d.part, t.licence, 2 * count(*) / (d.size + t.size) AS dice
-  FROM sized d JOIN sized t USING (pair) WHERE d.licence IS NULL AND t.licence IS NOT NULL
-  GROUP BY d.doc_id, d.part, t.part, t.licence, d.size, t.size
+stretches AS (
+  SELECT a.mark, a.doc_id, a.licence, a.pos AS start, least(a.span, a.n - a.pos) AS length, a.t_size, count(DISTINCT b.pair) AS shared, count(*) AS inside
+  FROM hits a JOIN hits b ON a.mark = b.mark AND a.template = b.template AND b.pos >= a.pos AND b.pos < a.pos + a.span
+  GROUP BY a.mark, a.doc_id, a.licence, a.template, a.pos, a.span, a.n, a.t_size
+),
+best AS (
+  SELECT *, 2 * shared / (t_size + shared + length - inside) AS dice FROM stretches WHERE 2 * shared / (t_size + shared + length - inside) >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY mark, licence ORDER BY dice DESC, length DESC, start) = 1
+)
+SELECT doc_id, licence, dice, CAST(start AS INTEGER) AS start, CAST(length + 1 AS INTEGER) AS n_words FROM best x
+WHERE NOT EXISTS (
+  SELECT 1 FROM best y WHERE y.mark = x.mark AND y.start <= x.start + x.length AND x.start <= y.start + y.length
+    AND (y.dice > x.dice OR (y.dice = x.dice AND (y.length > x.length OR (y.length = x.length AND y.licence < x.licence))))
 )
-SELECT doc_id, part, licence, dice FROM dice WHERE dice >= 0.8
-QUALIFY row_number() OVER (PARTITION BY doc_id, part ORDER BY dice DESC, licence) = 1
+QUALIFY row_number() OVER (PARTITION BY doc_id, licence ORDER BY dice DESC, length DESC, start) = 1
 """,
     "op10_decontamination": f"""
 WITH {SHINGLES_SQL.format("documents", "doc_id")}, {SHINGLES_SQL.format("benchmark", "item_id")},
