@@ -1,12 +1,19 @@
 """N-gram Jaccard join with a MinHash LSH forest.
 
 Texts with the same set of word shingles form one class, and one of them stands for it. Every
-representative has a signature of MinHash values, dealt to the trees of a forest; a tree sorts the
-representatives by their values, so those with a common prefix are neighbours. Prefixes start at
-full length and are shortened, tree after tree, until a pair at the threshold shares a prefix in
-some tree with the target probability. Inside a prefix group, members are compared by signature
-with the leaders of the group, which rules out chance neighbours and yields few edges; connected
-candidates are then compared exactly, on whole shingle sets, in blocks of bounded size.
+representative has a signature of MinHash values, dealt to the trees of a forest: each tree sorts the
+representatives by their values of that tree, so that its prefix trie lies in the order of the rows
+and those below a trie node are neighbours. Only what shares the shortest prefix with somebody is kept.
+
+Matches are sought at full depth first, and then with prefixes shortened by one value at a time. Every
+round looks at the trie nodes that join branches which were apart before. It ends as soon as the
+links seen so far, by their similarities, say that the prefixes of that length miss no more than the
+allowed share; so a corpus of close copies is settled at full depth and one with links at the
+threshold goes down to the shortest prefix.
+
+Below a trie node, members are compared by signature with the leaders among them, which rules out
+chance neighbours and yields few edges. Connected candidates are compared by signature in blocks of
+bounded size, and wherever two may be alike, exactly, on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -20,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import Forest, block_pairs, components, groups, mapped
-from tabloom.llm.hashing import BASE, mixed, set_key, shingles
+from tabloom.llm.hashing import mixed, set_key, shingles
 from tabloom.sources.shared import stored
 
 
@@ -28,31 +35,22 @@ from tabloom.sources.shared import stored
 class Settings:
     words: int = 5
     threshold: float = 0.8
-    recall: float = 0.999999
+    recall: float = 0.9999999
     trees: int = 32
     depth: int = 6
-    #: Members of a prefix group that one task compares with leaders; larger groups are salted.
+    #: The shortest prefix; with it a pair at the threshold is missed once in twenty million times.
+    least: int = 4
+    #: Members of a trie node that one task compares with leaders; larger ones are salted.
     group: int = 20_000
-    #: Representatives of a candidate component that one side of a task compares exactly.
+    #: Leaders of a salted trie node that one side of a task compares.
+    heads: int = 4096
+    #: Representatives of a candidate component that one side of a task compares.
     block: int = 256
+    #: What signatures may say below the truth: more than five deviations of 192 values at 0.8.
+    margin: float = 0.15
     seed: int = 11
 
 
-def prefix_lengths(settings: Settings) -> list[int]:
-    """The prefix length of each tree: shortened in turn from ``depth`` until the chance that a
-    pair at the threshold shares no prefix in any tree is below the allowed share."""
-    lengths = [settings.depth] * settings.trees
-
-    def missed() -> float:
-        return float(np.prod([1 - settings.threshold**k for k in lengths]))
-
-    at = 0
-    while missed() > 1 - settings.recall and max(lengths) > 1:
-        lengths[at % settings.trees] = max(1, lengths[at % settings.trees] - 1)
-        at += 1
-    return lengths
-
-
 def signature(found: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The smallest value of every hash function over a set."""
     out = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
@@ -63,8 +61,7 @@ def signature(found: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np
 
 
 def sketches(documents: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id``, the text's hash, the set's key (null without words), tree prefixes as hashes, short signature."""
-    lengths = prefix_lengths(settings)
+    """``doc_id``, the text's hash, the set's key (null without words) and the signature, a byte a value."""
     rng = np.random.default_rng(settings.seed)
     count = settings.trees * settings.depth
     factors = rng.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,89 +69,156 @@ def sketches(documents: DataFrame, settings: Settings) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, prefixes, short = [], [], []
+            keys, short = [], []
             for text in batch["text"]:
                 found = shingles(text, settings.words)
-                if not len(found):
-                    keys.append(None), prefixes.append(None), short.append(None)
-                    continue
-                values = signature(found, factors, offsets).reshape(settings.trees, settings.depth)
-                keys.append(set_key(found))
-                short.append((values.ravel() & np.uint64(255)).astype(np.uint8).tobytes())
-                prefix = []
-                for tree, k in enumerate(lengths):
-                    h = np.full(1, tree + 1, np.uint64)
-                    for value in values[tree, :k]:
-                        h = h * BASE + value
-                    prefix.append(h)
-                prefixes.append(mixed(np.concatenate(prefix)).view(np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "set_key": keys, "prefixes": prefixes, "short": short})
+                keys.append(set_key(found) if len(found) else None)
+                short.append((signature(found, factors, offsets) & np.uint64(255)).astype(np.uint8).tobytes() if len(found) else None)
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "mark": batch["mark"], "set_key": keys, "short": short})
 
     rows = documents.select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    return mapped(rows, run, "doc_id long, mark long, set_key binary, prefixes array<long>, short binary")
+    return mapped(rows, run, "doc_id long, mark long, set_key binary, short binary")
+
+
+def tries(reps: DataFrame, settings: Settings) -> DataFrame:
+    """The sorted tries, cut into their subtries below the shortest prefix: ``tree``, ``trunk`` (that prefix), ``salt``,
+    ``salts`` and ``entries``, which are the members' branch, signature and node in order. Subtries of one member
+    are left out; large ones are dealt to several rows, so a row has a bounded size."""
+    start = F.col("tree") * settings.depth + 1
+    rows = reps.select("node", "short", F.explode(F.sequence(F.lit(0), F.lit(settings.trees - 1))).alias("tree"))
+    rows = rows.select("tree", F.substring("short", start, F.lit(settings.least)).alias("trunk"), "node")
+    shared = rows.groupBy("tree", "trunk").agg(F.count("*").alias("n")).where("n > 1")
+    members = rows.join(shared, ["tree", "trunk"]).withColumn("salts", F.ceil(F.col("n") / settings.group).cast("int"))
+    members = members.withColumn("salt", F.pmod(F.xxhash64("node"), "salts").cast("int")).join(reps.select("node", "short"), "node")
+    number = F.unhex(F.lpad(F.hex("node"), 16, "0"))
+    entry = F.concat(F.substring("short", start, F.lit(settings.depth)), F.col("short"), number)
+    return members.groupBy("tree", "trunk", "salt", "salts").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
 
 
-def led(members: list[tuple[int, bytes]], near: float, same: float) -> tuple[list[tuple[int, int]], list[int]]:
-    """Edges of a forest over the members of one group, and its leaders.
+def agreement(table: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Share of equal values between the rows of two tables of signatures."""
+    out = np.empty((len(table), len(own)))
+    for k, row in enumerate(own):
+        out[:, k] = (table == row).mean(axis=1)
+    return out
+
+
+def led(nodes: np.ndarray, shorts: np.ndarray, near: float, same: float) -> tuple[list[tuple[int, int, float]], list[int]]:
+    """Edges of a forest over the members of one trie node, with their agreement, and its leaders.
 
     A member becomes a leader unless its signature agrees with some leader's in a share of at least
     ``same``; it is joined with every leader that it agrees with in at least ``near``, less the
-    joins that add nothing."""
-    forest, ids = Forest(), []
-    table = np.zeros((16, len(members[0][1])), np.uint8)
-    for node, short in members:
-        own = np.frombuffer(short, np.uint8)
-        agree = (table[: len(ids)] == own).mean(axis=1) if ids else np.zeros(0)
-        for k in np.flatnonzero(agree >= near):
-            forest.join(node, ids[k])
+    joins that add nothing, the most alike first."""
+    forest, heads, edges = Forest(), [], []
+    for k, own in enumerate(shorts):
+        agree = (shorts[heads] == own).mean(axis=1) if heads else np.zeros(0)
+        for at in sorted(np.flatnonzero(agree >= near), key=lambda j: -agree[j]):
+            before = len(forest.edges)
+            forest.join(int(nodes[k]), int(nodes[heads[at]]))
+            if len(forest.edges) > before:
+                edges.append((*forest.edges[-1], float(agree[at])))
         if not len(agree) or agree.max() < same:
-            if len(ids) == len(table):
-                table = np.concatenate([table, np.zeros_like(table)])
-            table[len(ids)] = own
-            ids.append(node)
-    return forest.edges, ids
+            heads.append(k)
+    return edges, [int(nodes[k]) for k in heads]
+
+
+EDGES = ["a", "b", "agree", "tree", "prefix", "head"]
+EDGE_TYPES = "a long, b long, agree double, tree int, prefix binary, head long"
+
+
+def level_edges(batches: Iterator[pd.DataFrame], depth: int, settings: Settings) -> Iterator[pd.DataFrame]:
+    """Edges below the trie nodes of one depth that join branches, and the leaders of salted ones."""
+    width = settings.trees * settings.depth
+    near = 1 - 2 * (1 - settings.threshold) - settings.margin
+    rows: list[tuple] = []
+    for batch in batches:
+        for tree, salts, entries in zip(batch["tree"], batch["salts"], batch["entries"], strict=True):
+            table = np.frombuffer(b"".join(entries), np.uint8).reshape(len(entries), -1)
+            branch, shorts = table[:, : settings.depth], table[:, settings.depth : settings.depth + width]
+            nodes = np.ascontiguousarray(table[:, -8:]).view(">i8")[:, 0]
+            new = np.any(branch[1:, :depth] != branch[:-1, :depth], axis=1)
+            cuts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(entries)]])
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                # Members that agree further were compared in the round before.
+                joins = depth == settings.depth or bool(np.any(branch[low:high, depth] != branch[low, depth]))
+                if (high - low > 1 and joins) or salts > 1:
+                    edges, heads = led(nodes[low:high], shorts[low:high], near, settings.threshold)
+                    rows.extend((*edge, None, None, None) for edge in edges)
+                    if salts > 1:
+                        rows.extend((None, None, None, tree, branch[low, :depth].tobytes(), head) for head in heads)
+            if len(rows) > 50_000:
+                yield frame(rows)
+                rows = []
+    yield frame(rows)
+
+
+def frame(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=EDGES)
+    return out.astype({"a": "Int64", "b": "Int64", "agree": "float64", "tree": "Int32", "head": "Int64"})
+
+
+def head_edges(batches: Iterator[pd.DataFrame], bound: float) -> Iterator[pd.DataFrame]:
+    """Edges of a forest over the leaders of two blocks of one trie node, from all pairs of signatures."""
+    for (_, _, i, j), rows in groups(batches, ["tree", "prefix", "i", "j"]):
+        own = np.array([r[4] for r in rows])
+        shorts = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        forest, edges = Forest(), []
+        for at in range(0, len(right), 64):
+            agree = agreement(shorts[left], shorts[right[at : at + 64]])
+            for x, y in np.argwhere(agree >= bound):
+                before = len(forest.edges)
+                forest.join(rows[left[x]][5], rows[right[at + y]][5])
+                if len(forest.edges) > before:
+                    edges.append((*forest.edges[-1], float(agree[x, y]), None, None, None))
+        yield frame(edges)
+
+
+def recall_of(edges: DataFrame, depth: int, settings: Settings) -> float | None:
+    """The share of links that prefixes of ``depth`` values find, by the similarities of those seen:
+    a link that is found with probability p stands for 1 / p links. None if there are none."""
+    alike = F.greatest(F.col("agree"), F.lit(settings.threshold))
+    found = F.lit(1.0) - F.pow(F.lit(1.0) - F.pow(alike, depth), settings.trees)
+    seen = edges.where(F.col("agree") >= settings.threshold - settings.margin / 3)
+    return seen.agg((F.count("*") / F.sum(F.lit(1.0) / found)).alias("recall")).first()["recall"]
 
 
 def candidate_edges(reps: DataFrame, settings: Settings) -> DataFrame:
-    """Edges that connect all representatives which share a prefix and look alike.
+    """Edges ``a``, ``b`` that connect all representatives which share a prefix and look alike.
 
     With a distance of at most 1 - threshold to each other and to their leaders, two linked members
-    of a group are at most three such steps apart from each other's leaders (two within one salt),
-    which the bounds below allow for, and a margin for the error of the estimate."""
-    far = 1 - settings.threshold
-    rows = reps.select("node", F.explode("prefixes").alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = rows.join(shared, "key").withColumn("salts", F.ceil(F.col("n") / settings.group))
-    members = members.withColumn("salt", F.pmod(F.xxhash64("node"), "salts"))
-
-    def lead(bound: float):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            edges, leaders = [], []
-            for (key, _, salts), rows in groups(batches, ["key", "salt", "salts"]):
-                found, heads = led([(r[3], r[4]) for r in rows], bound, settings.threshold)
-                edges.extend(found)
-                if salts > 1:
-                    leaders.extend((key, head) for head in heads)
-                if len(edges) + len(leaders) > 50_000:
-                    yield rows_of(edges, leaders)
-                    edges, leaders = [], []
-            yield rows_of(edges, leaders)
-
-        return run
-
-    def rows_of(edges: list, leaders: list) -> pd.DataFrame:
-        rows = [(a, b, None, None) for a, b in edges] + [(None, None, k, h) for k, h in leaders]
-        return pd.DataFrame(rows, columns=["a", "b", "key", "head"], dtype="Int64")
-
-    def grouped(rows: DataFrame, bound: float) -> DataFrame:
-        full = rows.join(reps.select("node", "short"), "node").select("key", "salt", "salts", "node", "short")
-        full = full.repartition("key", "salt").sortWithinPartitions("key", "salt", "short", "node")
-        return mapped(full, lead(bound), "a long, b long, key long, head long")
-
-    first = stored(grouped(members.select("key", "salt", "salts", "node"), 1 - 2 * far - 0.15), "edges")
-    heads = first.where("key is not null").select("key", F.lit(0).cast("long").alias("salt"), F.lit(1).cast("long").alias("salts"), F.col("head").alias("node"))
-    second = grouped(heads, max(0.05, 1 - 3 * far - 0.15))
-    return first.where("a is not null").select("a", "b").union(second.where("a is not null").select("a", "b"))
+    of a trie node are two such steps apart from each other's leader within one salt, and the leaders
+    of two salts three, which the bounds allow for, and a margin for the error of the estimate. Leaders of
+    several salts are compared with one another, pair by pair, in blocks."""
+    forest = stored(tries(reps, settings), "tries")
+    bound = 1 - 3 * (1 - settings.threshold) - settings.margin
+    edges: DataFrame | None = None
+    for depth in range(settings.depth, settings.least - 1, -1):
+        found = stored(mapped(forest.select("tree", "salts", "entries"), lambda batches, d=depth: level_edges(batches, d, settings), EDGE_TYPES), "edges")
+        level = found.where("a is not null").select("a", "b", "agree")
+        heads = block_pairs(found.where("head is not null").select("tree", "prefix", F.col("head").alias("node")), ["tree", "prefix"], "node", settings.heads)
+        heads = heads.join(reps.select("node", "short"), "node").select("tree", "prefix", "i", "j", "own", "node", "short")
+        heads = heads.repartition("tree", "prefix", "i", "j").sortWithinPartitions("tree", "prefix", "i", "j", "node")
+        level = level.union(mapped(heads, lambda batches: head_edges(batches, bound), EDGE_TYPES).select("a", "b", "agree"))
+        edges = stored(level if edges is None else edges.union(level).groupBy("a", "b").agg(F.max("agree").alias("agree")), "edges")
+        recall = recall_of(edges, depth, settings)
+        if recall is not None and recall >= settings.recall:
+            break
+    return edges.select("a", "b")
+
+
+def alike(batches: Iterator[pd.DataFrame], settings: Settings) -> Iterator[pd.DataFrame]:
+    """The nodes of each pair of blocks that have somebody of the other block, or of their own, that may be linked."""
+    for (component, i, j), rows in groups(batches, ["component", "i", "j"]):
+        own = np.array([r[3] for r in rows])
+        shorts = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), -1)
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        may = agreement(shorts[left], shorts[right]) >= settings.threshold - settings.margin
+        if i == j:
+            np.fill_diagonal(may, False)
+        chosen = np.union1d(left[may.any(axis=1)], right[may.any(axis=0)])
+        out = [(component, i, j, rows[k][3], rows[k][4]) for k in chosen]
+        yield pd.DataFrame(out, columns=["component", "i", "j", "own", "node"])
 
 
 def exact_links(sets: list[np.ndarray], threshold: float, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -211,17 +275,19 @@ def judged(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sketch = stored(sketches(documents, settings), "sketches")
     named = sketch.where("set_key is not null and doc_id is not null")
     classes = named.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min_by(F.struct("prefixes", "short", "mark"), "doc_id").alias("_s")
+        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min_by(F.struct("short", "mark"), "doc_id").alias("_s")
     )
     # Classes are numbered: an id with several texts stands for several classes.
     number = F.monotonically_increasing_id().alias("node")
-    classes = stored(classes.select(number, "set_key", "rep", "copies", "_s.prefixes", "_s.short", "_s.mark"), "classes")
+    classes = stored(classes.select(number, "set_key", "rep", "copies", "_s.short", "_s.mark"), "classes")
     candidates = components(candidate_edges(classes, settings))
+    blocks = block_pairs(candidates, ["component"], "node", settings.block).join(classes.select("node", "short"), "node")
+    blocks = blocks.select("component", "i", "j", "own", "node", "short").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
+    chosen = stored(mapped(blocks, lambda batches: alike(batches, settings), "component long, i int, j int, own int, node long"), "alike")
     texts = documents.select(F.col("doc_id").alias("rep"), F.xxhash64("text").alias("mark"), "text").where("rep is not null and text is not null")
-    members = candidates.join(classes.select("node", "rep", "mark", "copies"), "node").join(texts, ["rep", "mark"])
+    members = chosen.select("node").distinct().join(classes.select("node", "rep", "mark", "copies"), "node").join(texts, ["rep", "mark"])
     members = members.dropDuplicates(["rep", "mark"])  # repeated rows count in copies
-    pairs = block_pairs(members.select("component", "node", "copies", "text"), ["component"], "node", settings.block)
-    pairs = pairs.select("component", "i", "j", "own", "node", "copies", "text")
+    pairs = chosen.join(members.select("node", "copies", "text"), "node").select("component", "i", "j", "own", "node", "copies", "text")
     pairs = pairs.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
     found = stored(mapped(pairs, lambda batches: block_links(batches, settings), "node long, n long, peer long"), "found")
     linked = found.where("n > 0").groupBy("node").agg(F.sum("n").alias("n"))
@@ -256,6 +322,6 @@ def jaccard_join(documents: DataFrame, settings: Settings = Settings()) -> DataF
     ``words - 1`` words are one shingle; null and empty texts and texts without words link with
     nothing. Rows with a null id link with nothing and have a null class. Rows that repeat an id
     with the same text count as copies; all are kept. Different texts of one id are judged each by
-    itself. Other columns are left behind.
+    itself. Texts of any length are compared whole; an empty table gives no rows. Other columns are left behind.
     """
     return judged(documents, settings).select("doc_id", "class_id", "n_links", "kept")

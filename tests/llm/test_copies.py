@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -44,15 +45,70 @@ def test_jaccard_join_equals_all_pairs(spark):
     links = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
     degree = Counter(x for pair in links for x in pair)
     root = roots(len(texts), links)
-    for settings in (forest.Settings(), forest.Settings(block=5, group=7)):
+    for settings in (forest.Settings(), forest.Settings(block=5, group=7, heads=3)):
         found = {r["doc_id"]: (r["class_id"], r["n_links"], r["kept"]) for r in forest.jaccard_join(frame(spark, texts), settings).collect()}
         assert found == {k: (root[k], degree[k], root[k] == k) for k in range(len(texts))}
 
 
-def test_prefixes_shorten_until_the_recall_is_reached():
-    strict, loose = (forest.prefix_lengths(forest.Settings(recall=r)) for r in (1 - 1e-12, 0.9))
-    assert max(loose) == 6 and min(strict) < 6
-    assert np.prod([1 - 0.8**k for k in strict]) <= 1.01e-12
+def test_prefixes_shorten_until_the_recall_is_reached(spark):
+    """Close copies are settled at full depth, links at the threshold need the shortest prefix."""
+    settings = forest.Settings()
+
+    def enough(agree):
+        edges = spark.createDataFrame([(1, 2, a) for a in agree], "a long, b long, agree double")
+        return [d for d in (6, 5, 4) if (r := forest.recall_of(edges, d, settings)) is not None and r >= settings.recall]
+
+    assert enough([0.99] * 50 + [0.9]) == [6, 5, 4]
+    assert enough([0.99] * 50 + [0.8]) == [5, 4]
+    assert enough([0.78, 0.8, 0.81]) == [4]
+    assert enough([]) == enough([0.5]) == []
+
+
+def signatures(texts, settings=forest.Settings()):
+    rng = np.random.default_rng(settings.seed)
+    n = settings.trees * settings.depth
+    factors = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    offsets = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    return [(forest.signature(hashing.shingles(t), factors, offsets) & np.uint64(255)).astype(np.uint8).tobytes() for t in texts]
+
+
+def test_texts_that_are_half_alike_are_not_compared_whole(spark):
+    """A chain in which neighbours share half of their words: one component of candidates, no exact comparison."""
+    rng = random.Random(13)
+    stream = words(rng, 60 * 400 + 200)
+    texts = [" ".join(stream[60 * k : 60 * k + 180]) for k in range(400)]
+    rows = [(0, 0, 0, 0, k, short) for k, short in enumerate(signatures(texts))]
+    batch = pd.DataFrame(rows, columns=["component", "i", "j", "own", "node", "short"])
+    assert sum(len(out) for out in forest.alike(iter([batch]), forest.Settings())) == 0
+    batch = pd.concat([batch, pd.DataFrame([(0, 0, 0, 0, 400, signatures([texts[7] + " new"])[0])], columns=batch.columns)])
+    assert [r.node for out in forest.alike(iter([batch]), forest.Settings()) for r in out.itertuples()] == [7, 400]
+    found = forest.jaccard_join(frame(spark, texts[:150] + [texts[7] + " new"])).where("n_links > 0").collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == [(7, 7, 1), (150, 7, 1)]
+
+
+def test_links_across_salts_are_found(spark):
+    """All texts below one trie node, dealt to many rows: every link is found whichever rows its ends are in."""
+    rng = random.Random(14)
+    base = words(rng, 150)
+    texts = []
+    for k in range(90):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randrange(0, 9)):
+            copy[at] = f"new{k}x{at}"
+        texts.append(" ".join(copy))
+    sets = [set(hashing.shingles(t).tolist()) for t in texts]
+    degree = Counter(k for a in range(90) for b in range(a) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8 for k in (a, b))
+    found = forest.jaccard_join(frame(spark, texts), forest.Settings(group=4, heads=5, block=16)).collect()
+    assert {r["doc_id"]: r["n_links"] for r in found} == {k: degree[k] for k in range(90)}
+
+
+def test_long_texts_cross_the_steps_of_a_signature(spark):
+    rng = random.Random(15)
+    long = words(rng, 20_000)
+    texts = [" ".join(long), " ".join(long[:-900]), " ".join(words(rng, 20_000))]
+    assert len(hashing.shingles(texts[0])) > 8192
+    found = forest.jaccard_join(frame(spark, texts)).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == [(0, 0, 1), (1, 0, 1), (2, 2, 0)]
 
 
 def test_odd_rows_and_empty_tables(spark):
@@ -195,6 +251,22 @@ def test_contained_items_both_ways(spark):
         assert {tuple(r) for r in found} == wanted and len(found) == len(wanted)
 
 
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_repeated_ids_of_texts_and_items_count_by_themselves(spark, limit):
+    rng = random.Random(12)
+    item = words(rng, 60)
+    half, rest, other = " ".join(item[:30]), " ".join(item[30:]), " ".join(words(rng, 60))
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(item)), (8, other)], "item_id long, text string")
+
+    def found(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        return sorted(tuple(r) for r in contamination.contained_items(docs, bench, broadcast_limit=limit).collect())
+
+    assert found([(1, half), (1, rest)]) == []
+    assert found([(1, half), (1, " ".join(item)), (1, " ".join(item))]) == [(1, 7, 1.0), (1, 8, 1.0)]
+    assert found([(2, other)]) == [(2, 8, 1.0)]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     found = common.components(spark.createDataFrame(edges, "a long, b long")).collect()
