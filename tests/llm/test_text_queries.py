@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import textwrap
 import zlib
 
@@ -12,6 +13,7 @@ from tokenizers import Tokenizer
 
 from check_registry import connect, differences
 from tabloom.llm import licences, packing, queries, tokens, urls
+from tabloom.sources.shared import Scratch, shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,14 @@ def test_query_equals_sql(spark, con, sf_dir, name):
     assert differences(spark, con, name, queries.QUERIES[name], queries.ORACLES[name], sf_dir) is None
 
 
+@pytest.mark.parametrize("name", ["op4_url_filter", "op11_embedding_whitening", "op13_html_extraction"])
+def test_a_scratch_around_a_query_leaves_no_tables(spark, sf_dir, name):
+    before = set(os.listdir(shared_folder(spark)))
+    with Scratch(spark) as scratch:
+        assert queries.QUERIES[name](spark, sf_dir).count() > 0 and scratch.paths
+    assert set(os.listdir(shared_folder(spark))) == before
+
+
 def judge(spark, addresses, rules=urls.RULES):
     pages = spark.createDataFrame([(k, u, "x") for k, u in enumerate(addresses)], "page_id long, url string, rule string")
     table = spark.createDataFrame(list(rules), "host string, path string, verdict string")

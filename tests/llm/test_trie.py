@@ -86,7 +86,7 @@ def test_ties_repeats_null_turns_and_very_long_texts(spark):
 
 def test_one_endless_conversation_and_a_hot_copy(spark):
     """Most rows in one conversation, most conversations alike, every lookup on both of its paths."""
-    rows = [(0, t, "user", f"{t % 3}") for t in range(700)] + [(c, t, "user", "same") for c in range(200, 500) for t in range(3)]
+    rows = [(0, t, "user", f"{t % 3}") for t in range(150)] + [(c, t, "user", "same") for c in range(200, 500) for t in range(3)]
     settings = trie.Settings(chunk=7, few=3)
     assert found(spark, rows, settings) == brute(rows)
 
