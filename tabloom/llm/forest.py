@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import Forest, block_pairs, components, groups, mapped
+from tabloom.llm.common import Forest, arrow_mapped, block_pairs, components, groups, mapped
 from tabloom.llm.hashing import mixed, set_key, shingles
 from tabloom.sources.shared import stored
 
@@ -124,20 +125,34 @@ def led(nodes: np.ndarray, shorts: np.ndarray, near: float, same: float) -> tupl
 
 EDGES = ["a", "b", "agree", "tree", "prefix", "head"]
 EDGE_TYPES = "a long, b long, agree double, tree int, prefix binary, head long"
+EDGE_SCHEMA = pa.schema(
+    [("a", pa.int64()), ("b", pa.int64()), ("agree", pa.float64()), ("tree", pa.int32()), ("prefix", pa.binary()), ("head", pa.int64())]
+)
 
 
-def level_edges(batches: Iterator[pd.DataFrame], depth: int, settings: Settings) -> Iterator[pd.DataFrame]:
+def subtries(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Tree, salts and the members' bytes, a row each, of every row of ``tries``; nothing is copied."""
+    entries = batch.column("entries")
+    offsets, values = entries.offsets.to_numpy(), entries.values
+    if not len(values):
+        return
+    ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+    data = np.frombuffer(values.buffers()[2], np.uint8)
+    for tree, salts, low, high in zip(batch.column("tree").to_pylist(), batch.column("salts").to_pylist(), offsets[:-1], offsets[1:], strict=True):
+        yield tree, salts, data[ends[low] : ends[high]].reshape(high - low, -1)
+
+
+def level_edges(batches: Iterator[pa.RecordBatch], depth: int, settings: Settings) -> Iterator[pa.RecordBatch]:
     """Edges below the trie nodes of one depth that join branches, and the leaders of salted ones."""
     width = settings.trees * settings.depth
     near = 1 - 2 * (1 - settings.threshold) - settings.margin
     rows: list[tuple] = []
     for batch in batches:
-        for tree, salts, entries in zip(batch["tree"], batch["salts"], batch["entries"], strict=True):
-            table = np.frombuffer(b"".join(entries), np.uint8).reshape(len(entries), -1)
+        for tree, salts, table in subtries(batch):
             branch, shorts = table[:, : settings.depth], table[:, settings.depth : settings.depth + width]
             nodes = np.ascontiguousarray(table[:, -8:]).view(">i8")[:, 0]
             new = np.any(branch[1:, :depth] != branch[:-1, :depth], axis=1)
-            cuts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(entries)]])
+            cuts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(table)]])
             for low, high in zip(cuts[:-1], cuts[1:], strict=True):
                 # Members that agree further were compared in the round before.
                 joins = depth == settings.depth or bool(np.any(branch[low:high, depth] != branch[low, depth]))
@@ -146,10 +161,10 @@ def level_edges(batches: Iterator[pd.DataFrame], depth: int, settings: Settings)
                     rows.extend((*edge, None, None, None) for edge in edges)
                     if salts > 1:
                         rows.extend((None, None, None, tree, branch[low, :depth].tobytes(), head) for head in heads)
-            if len(rows) > 50_000:
-                yield frame(rows)
-                rows = []
-    yield frame(rows)
+                if len(rows) > 20_000:
+                    yield pa.RecordBatch.from_pandas(frame(rows), schema=EDGE_SCHEMA, preserve_index=False)
+                    rows = []
+    yield pa.RecordBatch.from_pandas(frame(rows), schema=EDGE_SCHEMA, preserve_index=False)
 
 
 def frame(rows: list[tuple]) -> pd.DataFrame:
@@ -194,7 +209,7 @@ def candidate_edges(reps: DataFrame, settings: Settings) -> DataFrame:
     bound = 1 - 3 * (1 - settings.threshold) - settings.margin
     edges: DataFrame | None = None
     for depth in range(settings.depth, settings.least - 1, -1):
-        found = stored(mapped(forest.select("tree", "salts", "entries"), lambda batches, d=depth: level_edges(batches, d, settings), EDGE_TYPES), "edges")
+        found = stored(arrow_mapped(forest.select("tree", "salts", "entries"), lambda batches, d=depth: level_edges(batches, d, settings), EDGE_TYPES), "edges")
         level = found.where("a is not null").select("a", "b", "agree")
         heads = block_pairs(found.where("head is not null").select("tree", "prefix", F.col("head").alias("node")), ["tree", "prefix"], "node", settings.heads)
         heads = heads.join(reps.select("node", "short"), "node").select("tree", "prefix", "i", "j", "own", "node", "short")

@@ -10,7 +10,7 @@ within the space that they span, by solving the small problem projected on it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import ship
+from tabloom.llm.common import arrow_mapped
 from tabloom.sources.shared import stored
 
 RESULT = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
@@ -35,12 +35,6 @@ class Settings:
     rounds: int = 30
 
 
-def arrow_mapped(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with this package shipped to the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
-
-
 def whole_numbers(lists: pa.ListArray, settings: Settings) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For every length of usable vectors in the batch: the length, their places, and their whole numbers as rows."""
     offsets = lists.offsets.to_numpy().astype(np.int64)
