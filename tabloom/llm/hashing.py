@@ -15,22 +15,30 @@ _WORD_BYTE[128:] = True
 #: Signs outside ASCII that are no part of a word.
 _OTHER = re.compile(r"[^\w\x00-\x7f]+")
 
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
+#: Powers are put together from two tables of this many entries at most, which a worker keeps.
+_STEP = 1 << 16
+
+
+def _table(base: np.uint64) -> np.ndarray:
+    steps = np.full(_STEP, base)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+_LOW, _LOW_INVERSE = _table(BASE), _table(BASE_INVERSE)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse, modulo 2^64."""
-    global _powers, _inverses
-    if len(_powers) < n:
-        size = max(n, 2 * len(_powers), 1 << 16)
-        steps = np.full(size, BASE)
-        steps[0] = 1
-        _powers = np.cumprod(steps)
-        steps = np.full(size, BASE_INVERSE)
-        steps[0] = 1
-        _inverses = np.cumprod(steps)
-    return _powers[:n], _inverses[:n]
+    if n <= _STEP:
+        return _LOW[:n], _LOW_INVERSE[:n]
+    out = []
+    for low, base in ((_LOW, BASE), (_LOW_INVERSE, BASE_INVERSE)):
+        leap = low[-1:] * base
+        high = np.full(-(-n // _STEP), leap)
+        high[0] = 1
+        out.append(np.multiply.outer(np.cumprod(high), low).ravel()[:n])
+    return out[0], out[1]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

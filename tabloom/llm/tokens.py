@@ -81,7 +81,9 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[int, int] = {}
+        # Hashes of the known words in order, and where each is in the arrays below.
+        self.known = np.zeros(0, np.uint64)
+        self.places = np.zeros(0, np.int64)
         self.starts = np.zeros(1024, np.int64)
         self.sizes = np.zeros(1024, np.int64)
         self.pool = np.zeros(4096, np.uint32)
@@ -90,12 +92,12 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, hashes: list[int], words: list[str]) -> None:
-        """Encode new words and append their ids to the pool."""
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Encode new words, whose hashes are in order, and append their ids to the pool."""
         encoded = [self.words._encode_single_piece(w) for w in words]
         sizes = np.array([len(e) for e in encoded], np.int64)
         flat = np.array([i for e in encoded for i in e], np.uint32)
-        at = len(self.places)
+        at = len(self.known)
         while at + len(words) > len(self.starts):
             self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
         while self.used + len(flat) > len(self.pool):
@@ -104,7 +106,9 @@ class Encoder:
         self.starts[at : at + len(words)] = self.used + np.cumsum(sizes) - sizes
         self.sizes[at : at + len(words)] = sizes
         self.used += len(flat)
-        self.places.update(zip(hashes, range(at, at + len(words)), strict=True))
+        where = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, where, hashes)
+        self.places = np.insert(self.places, where, np.arange(at, at + len(words)))
 
     def covered(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of non-empty texts that the array splitting covers."""
@@ -117,13 +121,13 @@ class Encoder:
         starts = np.flatnonzero(word_starts(cps, first, self.kinds))
         stops = np.append(starts[1:], len(cps))
         hashes, where, which = np.unique(span_hashes(cps, starts, stops), return_index=True, return_inverse=True)
-        if len(self.places) > KNOWN:
+        if len(self.known) > KNOWN:
             self.forget()
-        keys = hashes.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.places]
-        if new:
-            self.learn([keys[k] for k in new], [joined[starts[where[k]] : stops[where[k]]] for k in new])
-        place = np.fromiter((self.places[h] for h in keys), np.int64, len(keys))[which]
+        near = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        new = np.flatnonzero(self.known[near] != hashes) if len(self.known) else np.arange(len(hashes))
+        if len(new):
+            self.learn(hashes[new], [joined[starts[where[k]] : stops[where[k]]] for k in new])
+        place = self.places[np.searchsorted(self.known, hashes)][which]
         sizes = self.sizes[place]
         total = np.cumsum(sizes)
         ids = self.pool[np.repeat(self.starts[place] - (total - sizes), sizes) + np.arange(total[-1])]

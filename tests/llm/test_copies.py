@@ -272,3 +272,12 @@ def test_components_of_a_chain_and_a_star(spark):
     found = common.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in found} == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 140)}
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_powers_and_hashes_of_long_arrays():
+    power, inverse = hashing.powers(200_000)
+    for k in (0, 1, 65_535, 65_536, 131_072, 199_999):
+        assert int(power[k]) == pow(int(hashing.BASE), k, 1 << 64) and int(inverse[k]) == pow(int(hashing.BASE_INVERSE), k, 1 << 64)
+    data = np.frombuffer(b"some words " * 20_000, np.uint8)
+    hashes = hashing.span_hashes(data, np.array([0, 11 * 15_000]), np.array([4, 11 * 15_000 + 4]))
+    assert hashes[0] == hashes[1]
