@@ -110,14 +110,16 @@ def cover_words(templates: list[list[str]], ratio: float) -> list[str]:
     """Words of which every stretch that reaches the threshold holds at least one.
 
     Such a stretch shares at least ``ratio`` of a template's distinct bigrams with it; so words, long
-    ones first, are taken from each template until fewer than that many bigrams are without one of them."""
+    ones first and of these such as few templates have, are taken from each template until fewer than
+    that many bigrams are without one of them."""
     cover: set[str] = set()
+    common = Counter(w for pairs in templates for w in {w for p in pairs for w in p.split(" ")})
     for pairs in templates:
         halves = {tuple(p.split(" ")) for p in pairs}
         bare = [pair for pair in halves if not cover & set(pair)]
         while len(bare) >= ratio * len(halves) - 1e-9:
             gain = Counter(w for pair in bare for w in set(pair))
-            cover.add(max(sorted(gain), key=lambda w: (min(len(w), 9), gain[w])))
+            cover.add(max(sorted(gain), key=lambda w: (min(len(w), 9), -common[w], gain[w])))
             bare = [pair for pair in bare if not cover & set(pair)]
     return sorted(cover)
 
