@@ -124,6 +124,14 @@ def cover_words(templates: list[list[str]], ratio: float) -> list[str]:
     return sorted(cover)
 
 
+def any_of(ws: list[str]) -> str:
+    """A pattern for any of the words; those with the same first sign share a branch, so few are tried."""
+    branches: dict[str, list[str]] = {}
+    for w in ws:
+        branches.setdefault(w[0], []).append(w[1:])
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in branches.items())
+
+
 def template_table(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> DataFrame:
     """``template``, ``licence``, ``span`` (bigrams in its text), ``t_size`` (distinct ones), ``pair``: a row
     per distinct bigram, of a fixed few thousand."""
@@ -150,8 +158,7 @@ def licence_scan(documents: DataFrame, templates: tuple[tuple[str, str], ...] =
     known = template_table(documents.sparkSession, templates)
     ratio = threshold / (2 - threshold)  # least share of a template's bigrams at the threshold
     wordings = known.groupBy("template").agg(F.sort_array(F.collect_list("pair")).alias("pairs")).orderBy("template").collect()
-    cover = "|".join(cover_words([r["pairs"] for r in wordings], ratio))
-    possible = F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{cover})(?![\p{{L}}\p{{N}}])")
+    possible = F.lower("text").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{any_of(cover_words([r['pairs'] for r in wordings], ratio))})(?![\p{{L}}\p{{N}}])")
 
     own = documents.where("doc_id is not null and text is not null").where(possible)
     split = own.select("doc_id", F.xxhash64("text").alias("mark"), words(F.col("text")).alias("ws"))
