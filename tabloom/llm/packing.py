@@ -118,6 +118,8 @@ def packed(documents: DataFrame, tokenizer: str, size: int = SIZE, open_windows:
                 rows.append((*row, part, piece[2].astype("<u4").tobytes()))
             done += 1
         yield frame(rows)
+        # Workers live on: what this one knows of words is not for the next stage to carry.
+        encoder.cache_clear()
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=names)

@@ -60,7 +60,7 @@ def word_starts(cps: np.ndarray, first: np.ndarray, kinds: np.ndarray) -> np.nda
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder per worker and file; it keeps the words of earlier tasks."""
+    """One encoder per task and file, kept until it is cleared."""
     return Encoder(path)
 
 
