@@ -10,7 +10,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from registry.inputs import LINE_KEYS, TARGET_ROLES
-from registry.modelling import modelling_lines
+from registry.modelling import fitted_scores, modelling_lines
 from tabloom import Settings
 from tabloom.functions.scores import logistic
 from tabloom.operators import metrics, models, scoring
@@ -124,6 +124,53 @@ def test_a_stopped_search_is_taken_up(spark, prepared, monkeypatch, tmp_path):
     assert calls == [2] * 4 + [1] * 6
 
 
+class Recording(models.LogisticRegression):
+    """Notes how many rows each partition of its training rows holds."""
+
+    sizes: list[list[int]] = []
+
+    def _fit(self, dataset):
+        counts = dataset.groupBy(F.spark_partition_id().alias("part")).count().collect()
+        Recording.sizes.append(sorted(r["count"] for r in counts))
+        return super()._fit(dataset)
+
+
+RECORDED = models.ModelSpec("lr", Recording, {"maxIter": 1, "threshold": 0.35})
+
+
+@pytest.fixture()
+def one_partition(spark):
+    """Many rows that a source gives in one piece, as a file with one row group does."""
+    rows = spark.range(120_000).selectExpr(
+        "id DIV 4 AS l_orderkey", "cast(id % 4 AS int) AS l_linenumber", "cast(id % 3 = 0 AS double) AS target",
+        "cast(id % 50 AS double) AS l_quantity", "cast(id % 997 AS double) AS l_extendedprice",
+        "id % 11 / 100 AS l_discount", "id % 9 / 100 AS l_tax", "if(id % 5 = 0, 'R', 'A') AS l_returnflag",
+    )
+    Recording.sizes = []
+    return rows.coalesce(1)
+
+
+def test_no_task_trains_on_the_whole_table(one_partition, monkeypatch):
+    monkeypatch.setattr("registry.modelling.modelling_lines", lambda *_: one_partition)
+    fitted_scores(one_partition.sparkSession, "unused", RECORDED)
+    jobs.train(one_partition, TARGET_ROLES, LINE_KEYS, [RECORDED], folds=0)
+    assert len(Recording.sizes) == 2
+    for sizes in Recording.sizes:
+        assert len(sizes) == 4 and sizes[-1] - sizes[0] <= 4 and sum(sizes) > 100_000
+
+
+def test_search_fits_on_dealt_rows(one_partition):
+    jobs.train(one_partition, TARGET_ROLES, LINE_KEYS, [RECORDED], folds=2)
+    assert len(Recording.sizes) == 3 and all(len(sizes) == 4 for sizes in Recording.sizes)
+
+
+def test_rows_of_a_task_are_bounded(spark):
+    rows = spark.range(10).coalesce(1)
+    partitions = {n: models.dealt(rows, n).rdd.getNumPartitions() for n in (6_000, 49_999, 540_000, 5_400_000, 194_400_000)}
+    assert partitions == {6_000: 1, 49_999: 1, 540_000: 21, 5_400_000: 24, 194_400_000: 389}
+    assert sorted(r["id"] for r in models.dealt(rows, 540_000).collect()) == list(range(10))
+
+
 def test_folds_are_checked(prepared):
     with pytest.raises(ValueError, match="folds must be"):
         models.search(SMALL[0], prepared, folds=4)
