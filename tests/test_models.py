@@ -166,8 +166,8 @@ def test_search_fits_on_dealt_rows(one_partition):
 
 def test_rows_of_a_task_are_bounded(spark):
     rows = spark.range(10).coalesce(1)
-    partitions = {n: models.dealt(rows, n).rdd.getNumPartitions() for n in (6_000, 49_999, 540_000, 5_400_000, 194_400_000)}
-    assert partitions == {6_000: 1, 49_999: 1, 540_000: 21, 5_400_000: 24, 194_400_000: 389}
+    partitions = {n: models.dealt(rows, n).rdd.getNumPartitions() for n in (6_000, 99_999, 540_000, 5_400_000, 194_400_000)}
+    assert partitions == {6_000: 1, 99_999: 1, 540_000: 21, 5_400_000: 24, 194_400_000: 389}
     assert sorted(r["id"] for r in models.dealt(rows, 540_000).collect()) == list(range(10))
 
 
