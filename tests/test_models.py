@@ -183,6 +183,55 @@ def test_node_cache_does_not_change_the_forest(prepared):
     assert trees[0] == trees[1]
 
 
+class WatchedForest(models.RandomForestClassifier):
+    """Notes whether rows remember their nodes, and how many fits run at once."""
+
+    settings: list[tuple[bool, int]] = []
+    running, most = 0, 0
+
+    def _fit(self, dataset):
+        WatchedForest.settings.append((self.getCacheNodeIds(), self.getCheckpointInterval()))
+        WatchedForest.running += 1
+        WatchedForest.most = max(WatchedForest.most, WatchedForest.running)
+        try:
+            return super()._fit(dataset)
+        finally:
+            WatchedForest.running -= 1
+
+
+WATCHED = dataclasses.replace(SMALL[2], estimator=WatchedForest)
+
+
+@pytest.fixture()
+def watched():
+    WatchedForest.settings, WatchedForest.running, WatchedForest.most = [], 0, 0
+
+
+def test_forests_remember_nodes_and_folds_fill_the_parallelism(prepared, watched, monkeypatch):
+    n, halves = prepared.count(), prepared.withColumn("fold", F.col("fold") % 2)
+    monkeypatch.setattr(models, "NODES_KEPT", n * 5 - 1)
+    plain = models.search(WATCHED, halves, folds=2, parallelism=1)
+    assert WatchedForest.settings == [(False, 10)] * 3 and WatchedForest.most == 1
+    monkeypatch.setattr(models, "NODES_KEPT", n * 5)
+    kept = models.search(WATCHED, halves, folds=2, parallelism=2)
+    assert WatchedForest.settings[3:] == [(True, -1)] * 3 and WatchedForest.most == 2
+    assert kept.avgMetrics == plain.avgMetrics and kept.stdMetrics == plain.stdMetrics
+    trees = [m.bestModel.toDebugString.split("\n")[1:] for m in (kept, plain)]
+    assert trees[0] == trees[1]
+
+
+def test_nodes_are_remembered_up_to_a_bound(spark):
+    spec = dataclasses.replace(SMALL[2], grid={"numTrees": (5, 7)})
+
+    def remembered(spec, rows):
+        estimator = spec.build()
+        return models.remembering_nodes(estimator, rows, spec.param_maps(estimator)).getCacheNodeIds()
+
+    assert remembered(spec, models.NODES_KEPT // 7) and not remembered(spec, models.NODES_KEPT // 7 + 1)
+    assert remembered(SMALL[2], models.NODES_KEPT // 5) and not remembered(SMALL[2], models.NODES_KEPT // 5 + 1)
+    assert not remembered(SMALL[1], 1) and not remembered(dataclasses.replace(spec, settings={"cacheNodeIds": False}), 1)
+
+
 def test_parameters_of_the_best_model(spark, prepared):
     model = models.fit(SMALL[0], prepared)
     values = {r["param"]: r["value"] for r in models.parameter_table(model, spark).collect()}
