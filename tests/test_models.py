@@ -220,6 +220,22 @@ def test_forests_remember_nodes_and_folds_fill_the_parallelism(prepared, watched
     assert trees[0] == trees[1]
 
 
+def test_fewer_fits_run_at_once_on_large_tables(prepared, watched, monkeypatch):
+    n, halves = prepared.count(), prepared.withColumn("fold", F.col("fold") % 2)
+    monkeypatch.setattr(models, "ROWS_FITTED_TOGETHER", 2 * n - 1)
+    alone = models.search(WATCHED, halves, folds=2, parallelism=2)
+    assert WatchedForest.most == 1
+    monkeypatch.setattr(models, "ROWS_FITTED_TOGETHER", 2 * n)
+    together = models.search(WATCHED, halves, folds=2, parallelism=2)
+    assert WatchedForest.most == 2
+    assert alone.avgMetrics == together.avgMetrics and alone.stdMetrics == together.stdMetrics
+
+
+@pytest.mark.parametrize("rows, fits", [(0, 4), (600_000, 4), (20_000_000, 4), (20_000_001, 3), (36_000_000, 2), (216_000_000, 1)])
+def test_fits_at_once(rows, fits):
+    assert models.fits_at_once(4, rows) == fits
+
+
 def test_nodes_are_remembered_up_to_a_bound(spark):
     spec = dataclasses.replace(SMALL[2], grid={"numTrees": (5, 7)})
 
