@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import tracemalloc
 import zlib
@@ -144,3 +145,22 @@ def test_samples_are_the_smallest_hashes_and_bounded(spark):
     assert sorted(t for t, _ in found) == sorted(wanted)
     everything = language.language_sample(docs, language.Settings(rows_per_language=100_000))
     assert len(everything) == learnable.count()
+
+
+def test_toxicity_takes_texts_in_small_batches(spark, capsys):
+    """Scoring holds no Arrow batches of texts, runs once a row, and keeps ids as they are, beside null ids as well."""
+    lexicon = toxicity.Lexicon({"tras": 3.0}, ["trash can"], 2.0, -1.0)
+    rows = [(2**53 + 1, "you trash"), (None, "a trash can"), (3, None), (3, "trash " * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = toxicity.score(docs, lexicon)
+    kept = docs.where(toxicity.scorer(spark, lexicon)(F.coalesce("text", F.lit(""))) < 0.7)
+    for df in (scored, kept):
+        df.explain()
+        plan = capsys.readouterr().out
+        assert "MapInPandas" not in plan and "ArrowEvalPython" not in plan and plan.count("BatchEvalPython") == 1
+    assert scored.schema.simpleString() == "struct<doc_id:bigint,score:double,n_matches:int>"
+    expected = [1 / (1 + math.exp(1 - 2 * toxicity.density(text or "", lexicon))) for _, text in rows]
+    found = scored.collect()  # in the order of the rows
+    assert [(r["doc_id"], r["n_matches"]) for r in found] == [(2**53 + 1, 1), (None, 0), (3, 0), (3, 5)]
+    assert [r["score"] for r in found] == pytest.approx(expected)
+    assert [tuple(r) for r in kept.collect()] == [row for row, x in zip(rows, expected, strict=True) if x < 0.7]
