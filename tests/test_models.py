@@ -236,6 +236,24 @@ def test_fits_at_once(rows, fits):
     assert models.fits_at_once(4, rows) == fits
 
 
+def test_forests_of_some_million_rows_remember_their_nodes(spark):
+    assert models.remembering_nodes(models.FOREST.build(), 3_240_000).getCacheNodeIds()
+    assert models.remembering_nodes(models.FOREST.build(), 5_400_000).getCacheNodeIds()
+    assert not models.remembering_nodes(models.FOREST.build(), 194_400_000).getCacheNodeIds()
+
+
+def test_nodes_of_forests_fitted_at_once_are_bounded(prepared, watched, monkeypatch):
+    assert [models.fits_at_once(4, rows, 150) for rows in (900_000, 3_240_000, 5_400_000)] == [4, 2, 1]
+    n, halves = prepared.count(), prepared.withColumn("fold", F.col("fold") % 2)
+    monkeypatch.setattr(models, "NODES_KEPT_TOGETHER", 2 * n * 5 - 1)
+    alone = models.search(WATCHED, halves, folds=2, parallelism=2)
+    assert WatchedForest.most == 1 and WatchedForest.settings == [(True, -1)] * 3
+    monkeypatch.setattr(models, "NODES_KEPT_TOGETHER", 2 * n * 5)
+    together = models.search(WATCHED, halves, folds=2, parallelism=2)
+    assert WatchedForest.most == 2
+    assert alone.avgMetrics == together.avgMetrics and alone.stdMetrics == together.stdMetrics
+
+
 def test_nodes_are_remembered_up_to_a_bound(spark):
     spec = dataclasses.replace(SMALL[2], grid={"numTrees": (5, 7)})
 
