@@ -164,3 +164,28 @@ def test_toxicity_takes_texts_in_small_batches(spark, capsys):
     assert [(r["doc_id"], r["n_matches"]) for r in found] == [(2**53 + 1, 1), (None, 0), (3, 0), (3, 5)]
     assert [r["score"] for r in found] == pytest.approx(expected)
     assert [tuple(r) for r in kept.collect()] == [row for row, x in zip(rows, expected, strict=True) if x < 0.7]
+
+
+def test_toxicity_learns_beside_texts_without_words(spark):
+    """Labelled texts that are null, empty or signs alone use no word; what the others teach stays the same."""
+    rng = random.Random(5)
+
+    def some(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+
+    texts = [f"{some(6)} zwurbel {some(6)}" for _ in range(60)] + [some(13) for _ in range(60)]
+    rows = [(i, text, int(i < 60)) for i, text in enumerate(texts)]
+    odd = [(200, None, 0), (201, "", 1), (202, "?! ...", 0), (203, "\u200b", 1), (204, " ", 1)]
+    scores = []
+    for some_rows in (rows, rows + odd):
+        docs = spark.createDataFrame([r[:2] for r in some_rows], "doc_id long, text string")
+        labels = spark.createDataFrame([(r[0], r[2]) for r in some_rows], "doc_id long, toxic int")
+        sample = sampling.labelled_rows(docs, labels, "toxic", F.lit(True), 1000)
+        assert sample.count() == len(some_rows)
+        weights = toxicity.learn_weights(sample, toxicity.Settings())
+        assert "zwur" in weights
+        scores.append(weights)
+        found = {r["doc_id"]: r for r in toxicity.toxicity_scores(docs, labels).collect()}
+        assert len(found) == len(some_rows) and all(0 <= r["score"] <= 1 for r in found.values())
+    assert scores[0] == scores[1]
+    assert all(found[i]["n_matches"] == 0 for i in range(200, 205))
